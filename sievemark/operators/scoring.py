@@ -1,0 +1,158 @@
+"""Batched model application and image preprocessing on Arrow batches."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import vectors
+
+# Image geometry, channel statistics, batch size.
+RESIZE_SIDE, CROP_SIDE = 256, 224
+CHANNEL_MEAN = [0.485, 0.456, 0.406]
+CHANNEL_STD = [0.229, 0.224, 0.225]
+BATCH_SIZE = 32
+TOP_LOGGED = 5
+
+
+def batch_predict(
+    rows: DataFrame, vec: str, make_predict_fn: Callable, width: int, batch_size: int = BATCH_SIZE, name: str = "logits"
+) -> DataFrame:
+    """Apply a model to batches of at most ``batch_size`` rows; it is loaded once per worker.
+
+    ``make_predict_fn`` returns a function from an ``(n, width)`` array to ``(n, classes)``.
+    """
+    apply = predict_batch_udf(
+        make_predict_fn, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size, input_tensor_shapes=[[width]]
+    )
+    return rows.withColumn(name, apply(F.col(vec)))
+
+
+def onnx_predict_fn(model_path: str) -> Callable:
+    """``make_predict_fn`` for an ONNX file that every worker can read."""
+    def make() -> Callable:
+        import onnxruntime
+
+        session = onnxruntime.InferenceSession(model_path, providers=["CPUExecutionProvider"])
+        input_name = session.get_inputs()[0].name
+        return lambda x: session.run(None, {input_name: x.astype(np.float32)})[0]
+
+    return make
+
+
+def ranked_predictions(logits: DataFrame, names: Column, n: int = TOP_LOGGED, column: str = "logits") -> DataFrame:
+    """softmax + top-n: adds ``top``, ``predicted_class`` and ``confidence``."""
+    return (
+        logits.withColumn("top", vectors.top_n(vectors.softmax(F.col(column)), n, names))
+        .withColumn("predicted_class", F.col("top")[0]["species"])
+        .withColumn("confidence", F.col("top")[0]["confidence"])
+    )
+
+
+def score_pipeline(
+    rows: DataFrame, vec: str, width: int, make_predict_fn: Callable, names: Column, n: int = TOP_LOGGED
+) -> DataFrame:
+    """item → logits → softmax → top-n; rows without a usable vector keep ``scored = false``."""
+    usable = F.col(vec).isNotNull() & (F.size(vec) == width)
+    filled = rows.withColumn("scored", F.coalesce(usable, F.lit(False))).withColumn(
+        vec, F.when(F.col("scored"), F.col(vec)).otherwise(F.array_repeat(F.lit(0.0).cast("float"), width))
+    )
+    ranked = ranked_predictions(batch_predict(filled, vec, make_predict_fn, width), names, n)
+    keep = F.col("scored")
+    return ranked.select(
+        *[c for c in rows.columns if c != vec], "scored",
+        F.when(keep, F.col("predicted_class")).alias("predicted_class"),
+        F.when(keep, F.col("confidence")).alias("confidence"),
+        F.when(keep, F.col("top")).alias("top5"),
+    )
+
+
+def score_totals(scored: DataFrame) -> DataFrame:
+    """Rows processed and skipped."""
+    return scored.agg(F.count_if("scored").alias("processed"), F.count_if(~F.col("scored")).alias("skipped"))
+
+
+def prompt_scores_arrow(features: DataFrame, vec: str, positive: np.ndarray, negative: np.ndarray) -> DataFrame:
+    """Prompt scores as matrix products on Arrow batches, for long vectors and many rows.
+
+    The prompt matrices are a few rows and travel with the function.
+    """
+    def unit(matrix: np.ndarray) -> np.ndarray:
+        length = np.linalg.norm(matrix, axis=1, keepdims=True)
+        return matrix / np.where(length == 0, 1.0, length)
+
+    pos, neg = unit(np.asarray(positive, dtype=np.float64)), unit(np.asarray(negative, dtype=np.float64))
+
+    @F.pandas_udf("score_positive double, score_negative double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = np.full((len(batch), 2), np.nan)
+            known = batch.notna().to_numpy()
+            if known.any():
+                x = unit(np.stack(batch[known].to_numpy()).astype(np.float64))
+                out[known, 0], out[known, 1] = (x @ pos.T).max(axis=1), (x @ neg.T).max(axis=1)
+            yield pd.DataFrame(out, columns=["score_positive", "score_negative"])
+
+    # NaN marks an unreadable row inside the batch and becomes NULL here
+    nan = F.lit(float("nan"))
+    return (
+        features.withColumn("_s", score(F.col(vec)))
+        .withColumn("score_positive", F.nullif(F.col("_s.score_positive"), nan))
+        .withColumn("score_negative", F.nullif(F.col("_s.score_negative"), nan))
+        .withColumn("score_final", F.col("score_positive") - F.col("score_negative"))
+        .drop("_s", vec)
+    )
+
+
+def triangle_weights(size: int, target: int) -> np.ndarray:
+    """(target, size) matrix of bilinear resampling; the filter widens when shrinking."""
+    scale = size / target
+    reach = max(scale, 1.0)
+    centers = (np.arange(target) + 0.5) * scale
+    positions = np.arange(size) + 0.5
+    weights = np.clip(1.0 - np.abs(positions[None, :] - centers[:, None]) / reach, 0.0, None)
+    return weights / weights.sum(axis=1, keepdims=True)
+
+
+def preprocess_pixels(pixels: np.ndarray) -> np.ndarray:
+    """(h, w, 3) RGB bytes → (3, 224, 224) float32: resize, centre crop, scale, normalise."""
+    height, width = pixels.shape[:2]
+    if width < height:
+        new_w, new_h = RESIZE_SIDE, int(height * RESIZE_SIDE / width)
+    else:
+        new_w, new_h = int(width * RESIZE_SIDE / height), RESIZE_SIDE
+    top, left = (new_h - CROP_SIDE) // 2, (new_w - CROP_SIDE) // 2
+    rows = triangle_weights(height, new_h)[top : top + CROP_SIDE]
+    cols = triangle_weights(width, new_w)[left : left + CROP_SIDE]
+    # horizontal pass first, both rounded to bytes as 8-bit resampling does
+    wide = np.floor(np.einsum("hwc,xw->hxc", pixels.astype(np.float64), cols) + 0.5)
+    resized = np.floor(np.einsum("hxc,yh->yxc", wide, rows) + 0.5).clip(0, 255)
+    scaled = (resized / 255.0 - np.array(CHANNEL_MEAN)) / np.array(CHANNEL_STD)
+    return scaled.transpose(2, 0, 1).astype(np.float32)
+
+
+def preprocess_images(images: DataFrame, key: str) -> DataFrame:
+    """(key, tensor) from rows with height, width, nChannels and BGR(A) ``data`` bytes.
+
+    Unreadable rows (height below 1) give a NULL tensor.
+    """
+    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            tensors = []
+            for height, width, channels, data in zip(batch["height"], batch["width"], batch["nChannels"], batch["data"]):
+                if data is None or height < 1:
+                    tensors.append(None)
+                    continue
+                pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
+                rgb = pixels[:, :, 2::-1] if channels >= 3 else np.repeat(pixels, 3, axis=2)
+                tensors.append(preprocess_pixels(rgb).ravel())
+            yield pd.DataFrame({key: batch[key], "tensor": tensors})
+
+    schema = T.StructType([images.schema[key], T.StructField("tensor", T.ArrayType(T.FloatType()))])
+    return images.select(key, "height", "width", "nChannels", "data").mapInPandas(convert, schema)
