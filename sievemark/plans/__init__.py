@@ -1 +1 @@
-from . import curation, selection  # noqa: F401
+from . import curation, evaluation, selection, vectors  # noqa: F401
