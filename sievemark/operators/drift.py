@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..functions.text import decimal_comma
@@ -50,7 +51,7 @@ def _side_counts(reference: DataFrame, current: DataFrame, label: str) -> DataFr
     )
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def _chi2_tail(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """P(chi² > x) for an integer degree of freedom; runs on one row per test."""
     from math import erfc, exp, lgamma, log, sqrt

@@ -131,10 +131,11 @@ def preprocess_pixels(pixels: np.ndarray) -> np.ndarray:
     rows = triangle_weights(height, new_h)[top : top + CROP_SIDE]
     cols = triangle_weights(width, new_w)[left : left + CROP_SIDE]
     # horizontal pass first, both rounded to bytes as 8-bit resampling does
-    wide = np.floor(np.einsum("hwc,xw->hxc", pixels.astype(np.float64), cols) + 0.5)
-    resized = np.floor(np.einsum("hxc,yh->yxc", wide, rows) + 0.5).clip(0, 255)
-    scaled = (resized / 255.0 - np.array(CHANNEL_MEAN)) / np.array(CHANNEL_STD)
-    return scaled.transpose(2, 0, 1).astype(np.float32)
+    planes = pixels.transpose(2, 0, 1).astype(np.float64)
+    wide = np.floor(planes @ cols.T + 0.5)
+    resized = np.floor(rows @ wide + 0.5).clip(0, 255)
+    mean, std = (np.array(v).reshape(3, 1, 1) for v in (CHANNEL_MEAN, CHANNEL_STD))
+    return ((resized / 255.0 - mean) / std).astype(np.float32)
 
 
 def preprocess_images(images: DataFrame, key: str) -> DataFrame:

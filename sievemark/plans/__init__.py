@@ -1 +1 @@
-from . import curation, evaluation, selection, vectors  # noqa: F401
+from . import curation, evaluation, logs, selection, vectors  # noqa: F401

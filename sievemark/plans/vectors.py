@@ -183,12 +183,20 @@ def _(t: Tables):
     return scored.select("doc_id", "scored", "predicted_class", F.round("confidence", 4).alias("confidence"))
 
 
-@query("vec_preprocess")
+GREY = """px AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: least(greatest(trunc(x * 127 + 128), 0), 255)) AS p FROM embeddings),
+rows2 AS (SELECT vec_id, floor(p[1] * 0.984375 + p[2] * 0.015625 + 0.5) AS h0, floor(p[9] * 0.984375 + p[10] * 0.015625 + 0.5) AS h1 FROM px),
+corner AS (SELECT vec_id, floor(h0 * 0.984375 + h1 * 0.015625 + 0.5) / 255.0::DOUBLE AS v FROM rows2)"""
+
+
+@query("vec_preprocess", f"""WITH {GREY} SELECT vec_id, 150528 AS size, round((v - 0.485::DOUBLE) / 0.229::DOUBLE, 4) AS red,
+round((v - 0.456::DOUBLE) / 0.224::DOUBLE, 4) AS green, round((v - 0.406::DOUBLE) / 0.225::DOUBLE, 4) AS blue FROM corner""")
 def _(t: Tables):
-    """Each vector becomes an 8 × 8 grey image; the result has one row per vector with channel means."""
-    level = F.transform("vec", lambda x: F.least(F.greatest((x * 127 + 128).cast("int"), F.lit(0)), F.lit(255)))
-    digits = F.transform(level, lambda v: F.lpad(F.hex(v), 2, "0"))
-    pixels = F.unhex(F.array_join(F.transform(digits, lambda h: F.repeat(h, 3)), ""))
+    """Each vector becomes an 8 × 8 grey image; the result shows the first pixel of every tensor."""
+    level = F.transform(
+        vectors.as_double(F.col("vec")),
+        lambda x: F.least(F.greatest((x * 127 + 128).cast("int"), F.lit(0)), F.lit(255)),
+    )
+    pixels = F.unhex(F.array_join(F.transform(level, lambda v: F.repeat(F.lpad(F.hex(v), 2, "0"), 3)), ""))
     size = F.lit(8)
     images = t.vectors.select(
         "vec_id", size.alias("height"), size.alias("width"), F.lit(3).alias("nChannels"), pixels.alias("data")
@@ -196,8 +204,7 @@ def _(t: Tables):
     tensors = scoring.preprocess_images(images, "vec_id")
     plane = scoring.CROP_SIDE**2
 
-    def mean(channel: int):
-        part = F.slice("tensor", channel * plane + 1, plane)
-        return F.round(F.aggregate(part, F.lit(0.0), lambda s, x: s + x) / plane, 3).alias(f"mean_{channel}")
+    def first(channel: int, name: str):
+        return F.round(F.col("tensor")[channel * plane].cast("double"), 4).alias(name)
 
-    return tensors.select("vec_id", F.size("tensor").alias("size"), *[mean(c) for c in range(3)])
+    return tensors.select("vec_id", F.size("tensor").alias("size"), first(0, "red"), first(1, "green"), first(2, "blue"))

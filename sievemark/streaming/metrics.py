@@ -57,8 +57,6 @@ def windowed(
     return grouped.select("start", end.alias("end"), *by, *sums)
 
 
-ONE = F.lit(1)
-
 
 def rate(events: DataFrame, by: list[str], length: str = SHORT_WINDOW, slide: str = "1 minute", ts: str = "ts") -> DataFrame:
     """Events per second over a sliding window, per label."""
