@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,22 +139,32 @@ def preprocess_pixels(pixels: np.ndarray) -> np.ndarray:
     return ((resized / 255.0 - mean) / std).astype(np.float32)
 
 
+def _tensor(row: dict) -> np.ndarray | None:
+    height, channels = row["height"], row["nChannels"]
+    if row["data"] is None or height is None or height < 1:
+        return None
+    pixels = np.frombuffer(row["data"], dtype=np.uint8).reshape(height, row["width"], channels)
+    rgb = pixels[:, :, 2::-1] if channels >= 3 else np.repeat(pixels, 3, axis=2)
+    return preprocess_pixels(rgb).ravel()
+
+
 def preprocess_images(images: DataFrame, key: str) -> DataFrame:
     """(key, tensor) from rows with height, width, nChannels and BGR(A) ``data`` bytes.
 
     Unreadable rows (height below 1) give a NULL tensor.
     """
-    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            tensors = []
-            for height, width, channels, data in zip(batch["height"], batch["width"], batch["nChannels"], batch["data"]):
-                if data is None or height < 1:
-                    tensors.append(None)
-                    continue
-                pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
-                rgb = pixels[:, :, 2::-1] if channels >= 3 else np.repeat(pixels, 3, axis=2)
-                tensors.append(preprocess_pixels(rgb).ravel())
-            yield pd.DataFrame({key: batch[key], "tensor": tensors})
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            # tensors are large: emit them in slices of one model batch
+            for begin in range(0, whole.num_rows, BATCH_SIZE):
+                batch = whole.slice(begin, BATCH_SIZE)
+                tensors = [_tensor(row) for row in batch.to_pylist()]
+                known = [t for t in tensors if t is not None]
+                lengths = np.array([0 if t is None else t.size for t in tensors])
+                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                flat = np.concatenate(known) if known else np.empty(0, dtype=np.float32)
+                lists = pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array([t is None for t in tensors]))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "tensor"])
 
     schema = T.StructType([images.schema[key], T.StructField("tensor", T.ArrayType(T.FloatType()))])
-    return images.select(key, "height", "width", "nChannels", "data").mapInPandas(convert, schema)
+    return images.select(key, "height", "width", "nChannels", "data").mapInArrow(convert, schema)
