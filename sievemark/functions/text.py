@@ -15,17 +15,18 @@ def safe_double(value: Column) -> Column:
 
 def percent_text(value: Column, decimals: int = 1) -> Column:
     """``0.1234`` → ``12.3 %``; NULL → a dash."""
-    return F.coalesce(F.format_string(f"%.{decimals}f %%", value * 100), F.lit("—"))
+    return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f %%", value * 100)).otherwise("—")
 
 
 def decimal_comma(value: Column, decimals: int = 2) -> Column:
-    """Fixed decimals with a decimal comma."""
-    return F.translate(F.format_string(f"%.{decimals}f", value), ".", ",")
+    """Fixed decimals with a decimal comma; NULL stays NULL."""
+    return F.when(value.isNotNull(), F.translate(F.format_string(f"%.{decimals}f", value), ".", ","))
 
 
-def thousands(value: Column, separator: str = " ") -> Column:
-    """Integer with a thousands separator."""
-    return F.replace(F.format_string("%,d", value.cast("bigint")), F.lit(","), F.lit(separator))
+def thousands(value: Column, separator: str = "\u00a0") -> Column:
+    """Integer with a thousands separator (a no-break space by default)."""
+    text = F.replace(F.format_string("%,d", value.cast("bigint")), F.lit(","), F.lit(separator))
+    return F.when(value.isNotNull(), text)
 
 
 def file_name(path: Column) -> Column:

@@ -1 +1,3 @@
-from . import curation, evaluation, logs, selection, vectors  # noqa: F401
+"""Query catalogue: every operator bound to the given tables, with its SQL."""
+
+from . import alerting, curation, evaluation, logs, selection, scalars, storage, vectors  # noqa: F401

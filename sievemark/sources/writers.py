@@ -96,5 +96,5 @@ def store_content(uploads: DataFrame, content: str, root: str) -> DataFrame:
     fresh = hashed.filter(F.col("hash").rlike("^[0-9a-f]{64}$")).dropDuplicates(["hash"])
     if exists(spark, root):
         fresh = fresh.join(spark.read.parquet(root).select("hash"), "hash", "left_anti")
-    fresh.withColumn("prefix", F.substring("hash", 1, 2)).write.mode("append").partitionBy("prefix").parquet(root)
+    fresh.write.mode("append").parquet(root)
     return spark.read.parquet(root).select("hash")
