@@ -13,14 +13,19 @@ def safe_double(value: Column) -> Column:
     return F.nullif(value.try_cast("double"), F.lit(float("nan")))
 
 
+def fixed(value: Column, decimals: int) -> Column:
+    """Fixed decimals, half-even on the exact binary value, no grouping; NULL stays NULL."""
+    return F.replace(F.format_number(value, decimals), F.lit(","), F.lit(""))
+
+
 def percent_text(value: Column, decimals: int = 1) -> Column:
     """``0.1234`` → ``12.3 %``; NULL → a dash."""
-    return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f %%", value * 100)).otherwise("—")
+    return F.coalesce(F.concat(fixed(value * 100, decimals), F.lit(" %")), F.lit("—"))
 
 
 def decimal_comma(value: Column, decimals: int = 2) -> Column:
     """Fixed decimals with a decimal comma; NULL stays NULL."""
-    return F.when(value.isNotNull(), F.translate(F.format_string(f"%.{decimals}f", value), ".", ","))
+    return F.translate(fixed(value, decimals), ".", ",")
 
 
 def thousands(value: Column, separator: str = "\u00a0") -> Column:

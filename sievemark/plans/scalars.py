@@ -199,7 +199,7 @@ def _(t: Tables):
     return rows.select("event_id", *containers.container_metrics(F.col("status"), F.col("stats")))
 
 
-@query("st_utilisation", """SELECT day, round(100.0::DOUBLE - avg(value) , 6) AS cpu_used_percent, round((1.0::DOUBLE - sum(value) / (count(*) * 400.0::DOUBLE)) * 100.0::DOUBLE, 6) AS memory_used_percent FROM (
+@query("st_utilisation", """SELECT day, round(100.0::DOUBLE - avg(value), 9) AS cpu_used_percent, round((1.0::DOUBLE - sum(value) / (count(*) * 400.0::DOUBLE)) * 100.0::DOUBLE, 9) AS memory_used_percent FROM (
 SELECT strftime(ts, '%Y-%m-%d') AS day, value FROM events) GROUP BY 1""")
 def _(t: Tables):
     from ..streaming import metrics
@@ -210,4 +210,4 @@ def _(t: Tables):
     memory = rows.groupBy("day").agg(
         (metrics.used_percent(F.sum("latency_ms"), F.count(F.lit(1)) * 400.0)).alias("memory_used_percent")
     )
-    return cpu.join(memory, "day").select("day", F.round("cpu_used_percent", 6).alias("cpu_used_percent"), F.round("memory_used_percent", 6).alias("memory_used_percent"))
+    return cpu.join(memory, "day").select("day", F.round("cpu_used_percent", 9).alias("cpu_used_percent"), F.round("memory_used_percent", 9).alias("memory_used_percent"))
