@@ -58,8 +58,8 @@ def quota_cutoffs(
     ).withColumn("_bucket", md5_bucket(F.col("_h"), digits))
     wanted = cuts.select(
         label,
-        F.explode(F.array(*[F.struct(F.lit(n).alias("_cut"), F.col(n).cast("bigint").alias("_rank")) for n in names])).alias("c"),
-    ).select(label, "c.*")
+        F.explode(F.array(*[F.struct(F.lit(n).alias("_cut"), F.col(n).cast("bigint").alias("_rank")) for n in names])).alias("_c"),
+    ).select(label, "_c.*")
     spots = pin_small(
         bucket_offsets(hashed, label)
         .join(wanted, label)

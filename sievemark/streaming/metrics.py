@@ -102,7 +102,7 @@ def buckets_long(buckets: DataFrame, keys: list[str], bounds: list[float] = LATE
     """(keys, le, count) with ``+Inf`` as the last bound."""
     cells = [F.struct(F.lit(f"{b:g}").alias("le"), F.col(f"le_{i}").alias("count")) for i, b in enumerate(bounds)]
     cells.append(F.struct(F.lit("+Inf").alias("le"), F.col("le_inf").alias("count")))
-    return buckets.select(*keys, F.explode(F.array(*cells)).alias("c")).select(*keys, "c.le", "c.count")
+    return buckets.select(*keys, F.explode(F.array(*cells)).alias("_c")).select(*keys, "_c.le", "_c.count")
 
 
 def bucket_quantile(q: float, bounds: list[float] = LATENCY_BOUNDS) -> Column:
