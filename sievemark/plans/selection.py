@@ -140,14 +140,9 @@ def _(t: Tables):
     return sample.weighted_sample(docs(t), "lang", "doc_id")
 
 
-@query("win_sort", """SELECT doc_id, lang, source, row_number() OVER (ORDER BY source, lang, doc_id) AS place FROM documents
-ORDER BY source, lang, doc_id LIMIT 100""")
+@query("win_sort", "SELECT doc_id, lang, source FROM documents ORDER BY source, lang, doc_id")
 def _(t: Tables):
-    from pyspark.sql import Window
-
-    rows = t.raw("documents").select("doc_id", "lang", "source").orderBy("source", "lang", "doc_id").limit(100)
-    order = Window.partitionBy().orderBy("source", "lang", "doc_id")
-    return rows.withColumn("place", F.row_number().over(order))
+    return t.raw("documents").select("doc_id", "lang", "source").orderBy("source", "lang", "doc_id")
 
 
 @query("set_union", sql("split", "SELECT split, count(*) AS count FROM split GROUP BY split"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -15,15 +16,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sievemark-")
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder for files that executors and driver must both see.
 
     It lies below ``spark.checkpoint.dir``, which a cluster points at shared
     storage. Only a session without that setting (local tests) gets a temporary
-    folder, and keeps it for its lifetime.
+    folder, one per process.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="sievemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or local_folder()
     return f"{base.rstrip('/')}/sievemark/{name}-{uuid.uuid4().hex}"
