@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import licenses, mixing, secrets, sharding
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,67 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shards(documents(spark, folder))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def tile_sql(kind: str, pattern: str, keep: str, value: int = 2) -> str:
+    """DuckDB: the spans of one kind, by the same tiling."""
+    tile = secrets.tiled(pattern).replace("'", "''")
+    return f"""
+SELECT doc_id, '{kind}' AS kind, {secrets.KINDS.index(kind)} AS rank, CAST(pos - length(hit) AS BIGINT) AS s, CAST(pos AS BIGINT) AS e FROM (
+  SELECT doc_id, hit, val, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i) AS pos FROM (
+    SELECT doc_id, unnest(regexp_extract_all(text, '{tile}', 1)) AS gap, unnest(regexp_extract_all(text, '{tile}', 2)) AS hit,
+           unnest(regexp_extract_all(text, '{tile}', {value})) AS val, unnest(range(len(regexp_extract_all(text, '{tile}', 1)))) AS i FROM documents))
+WHERE hit <> '' AND {keep}"""
+
+
+OP7_SQL = f"""
+WITH parts AS ({" UNION ALL ".join([
+    tile_sql("assign", secrets.ASSIGN, "length(val) >= 12", 4), tile_sql("access", secrets.ACCESS, "length(val) >= 18"),
+    tile_sql("hex", secrets.HEX, "length(val) >= 16"), tile_sql("identifier", secrets.IDENTIFIER, "true"),
+    tile_sql("token", secrets.TOKEN, "regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]') AND NOT regexp_matches(val, '^[0-9a-f]+$')"),
+    tile_sql("endpoint", secrets.ENDPOINT, "true")])}),
+met AS (SELECT w.doc_id, w.kind, w.rank, w.s, w.e, bool_or(h.kind IN ('assign', 'hex', 'token')) AS sec, bool_or(h.kind IN ('access', 'identifier')) AS idn
+        FROM parts w JOIN parts h ON w.doc_id = h.doc_id AND abs(w.s - h.s) <= {secrets.SCOPE}
+        WHERE w.rank >= 3 AND h.rank <= 4 GROUP BY ALL),
+spans AS (SELECT * FROM parts WHERE rank < 3 UNION ALL
+          SELECT doc_id, kind, rank, s, e FROM met WHERE (kind = 'identifier' AND sec) OR (kind = 'token' AND idn) OR (kind = 'endpoint' AND sec AND idn)),
+flat AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k, count(*) FILTER (kind = 'hex') AS h,
+                string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base,
+                string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents d LEFT JOIN flat USING (doc_id)
+"""
+
+TEMPLATE_ROWS = ", ".join(
+    "('{}', [{}])".format(name, ", ".join(f"'{g}'" for g in licenses.template_bigrams(text))) for name, text in licenses.TEMPLATES
+)
+OP1_SQL = rf"""
+WITH t(license, grams) AS (VALUES {TEMPLATE_ROWS}),
+u AS (SELECT doc_id, 'line' AS scope, unnest(string_split(text, chr(10))) AS part, unnest(range(len(string_split(text, chr(10))))) AS unit FROM documents
+      UNION ALL SELECT doc_id, 'paragraph', unnest(regexp_split_to_array(text, '
+[ 	]*
+')), unnest(range(len(regexp_split_to_array(text, '
+[ 	]*
+'))))
+      FROM documents WHERE contains(text, chr(10))
+      UNION ALL SELECT doc_id, 'text', text, 0 FROM documents WHERE contains(text, chr(10))),
+w AS (SELECT doc_id, scope, unit, string_split(trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')), ' ') AS words FROM u),
+g AS (SELECT doc_id, scope, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams FROM w WHERE len(words) BETWEEN 2 AND 1000),
+p AS (SELECT doc_id, scope, unit, license, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice FROM g, t
+      WHERE len(g.grams) BETWEEN len(t.grams) * 0.6 AND len(t.grams) * 1.6)
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT (scope, unit)) AS units FROM p WHERE dice >= 0.8::DOUBLE GROUP BY doc_id, license
+"""
+
+
+@query("op7_secrets", OP7_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op1_licenses", OP1_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(documents(spark, folder))
