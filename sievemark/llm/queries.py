@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, secrets, sharding
+from . import langid, licenses, mixing, quality_rules, secrets, sharding, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +129,32 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_licenses", OP1_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(documents(spark, folder))
+
+
+def spared(spark: SparkSession, folder: str, table: str, modulus: int, left_out: int) -> tuple[DataFrame, DataFrame]:
+    """A table with ``held_out``, and the condition under which its rows may be learned from."""
+    rows = spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+    return rows, F.coalesce(langid.remainder(F.col("doc_id"), modulus) == left_out, F.lit(False))
+
+
+@query("op2_langid")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = spared(spark, folder, "documents", 4, 2)
+    model = langid.fit(docs, train_on=~held_out)
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    labels, held_out = spared(spark, folder, "labels", 3, 1)
+    docs = documents(spark, folder)
+    weights = toxicity.fit(docs, labels, train_on=~held_out)
+    return toxicity.predict(docs.select("doc_id", "text"), weights).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    labels, held_out = spared(spark, folder, "labels", 4, 2)
+    docs = documents(spark, folder)
+    ensemble = quality_rules.fit(docs, labels, train_on=~held_out)
+    return quality_rules.predict(docs.select("doc_id", "text"), ensemble).select("doc_id", held_out.alias("held_out"), "score", "predicted")
