@@ -66,10 +66,10 @@ class WordHashes(dict):
         super().__init__()
         self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes, hashed: bytes | None = None) -> int:
         if len(self) >= self.limit:
             self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        value = self[word] = int.from_bytes(hashlib.blake2b(word if hashed is None else hashed, digest_size=8).digest(), "little")
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:

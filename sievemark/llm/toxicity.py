@@ -1,8 +1,10 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features are the distinct hashed words, word pairs and pairs with one word between, of the
-whole text (ASCII letters lower-cased, ASCII punctuation as space). Each coordinate has its own learning
-rate and an L1 threshold, so that the fitted model is a short list of weights.
+Features are the distinct hashed words, word beginnings (four characters, for inflected
+words), word pairs and pairs with one word between, of the whole text (ASCII letters
+lower-cased, ASCII punctuation as space). A feature is admitted when it occurs in at least
+``MIN_ROWS`` rows of the sample. Each coordinate has its own learning rate and an L1
+threshold, so that the fitted model is a short list of weights.
 
 Learning uses a bounded sample of labelled rows (about ``MAX_ROWS``), chosen by a hash of
 the id. NULL and empty texts get the score of no features. Rows without a label only get
@@ -24,10 +26,12 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, mix64, unit_hash
 
-BITS = 18
-MAX_ROWS = 6000
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.5, 1.0
+BITS = 22
+MAX_ROWS = 10_000
+MIN_ROWS = 3
+BEGINNING = 4
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 4.0, 0.0
 THRESHOLD = 0.7
 SEED = 11
 TO_SPACE = bytes.maketrans(
@@ -35,13 +39,21 @@ TO_SPACE = bytes.maketrans(
 )
 
 
-def features(text: str | None, hashes: WordHashes, bits: int = BITS) -> np.ndarray:
+class Beginnings(WordHashes):
+    """Word → hash of its first characters, marked so that it differs from that of a whole word."""
+
+    def __missing__(self, word: bytes) -> int:
+        return super().__missing__(word, b"^" + word.decode()[:BEGINNING].encode())
+
+
+def features(text: str | None, hashes: tuple[WordHashes, Beginnings], bits: int = BITS) -> np.ndarray:
     """Hashed features with repeats, as indices below ``2**bits``."""
-    words = hashes.of((text or "").encode().translate(TO_SPACE).split())
+    tokens = (text or "").encode().translate(TO_SPACE).split()
+    words, starts = (h.of(tokens) for h in hashes)
     with np.errstate(over="ignore"):
         pairs = mix64(words[:-1] * np.uint64(3) + words[1:] * np.uint64(5))
         skips = mix64(words[:-2] * np.uint64(7) + words[2:] * np.uint64(11) + np.uint64(1))
-    return (np.concatenate([words, pairs, skips]) & np.uint64(2**bits - 1)).astype(np.int32)
+    return (np.concatenate([words, starts, pairs, skips]) & np.uint64(2**bits - 1)).astype(np.int32)
 
 
 @dataclass
@@ -55,10 +67,10 @@ class Weights:
     fitted: bool = False
 
     def scorer(self):
-        dense = np.zeros(2**self.bits)
+        dense = np.zeros(2**self.bits, np.float32)
         dense[self.index] = self.value
         used = dense != 0
-        hashes = WordHashes()
+        hashes = WordHashes(), Beginnings()
 
         def score(text: str | None) -> float:
             ids = features(text, hashes, self.bits)
@@ -67,9 +79,11 @@ class Weights:
         return score
 
 
-def ftrl(rows: list[np.ndarray], labels: np.ndarray, *, bits: int = BITS, epochs: int = EPOCHS, alpha: float = ALPHA,
-         beta: float = BETA, l1: float = L1, l2: float = L2, seed: int = SEED) -> Weights:
+def ftrl(rows: list[np.ndarray], labels: np.ndarray, *, bits: int = BITS, min_rows: int = MIN_ROWS, epochs: int = EPOCHS,
+         alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2, seed: int = SEED) -> Weights:
     """Follow the proximally regularised leader, one example after the other; the intercept is not shrunk."""
+    seen = np.bincount(np.concatenate(rows), minlength=2**bits) >= min_rows
+    rows = [ids[seen[ids]] for ids in rows]
     z, n = np.zeros(2**bits), np.zeros(2**bits)
     z0 = n0 = 0.0
     rng = np.random.default_rng(seed)
@@ -110,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", train_on: C
     """Weights learned from ``labels`` (doc_id and a 0/1 column) where ``train_on``, a condition on them, holds."""
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
-        hashes = WordHashes()
+        hashes = WordHashes(), Beginnings()
         return pd.Series([np.unique(features(t, hashes)) for t in texts])
 
     rows = labelled_sample(docs, labels, label, train_on, max_rows, seed, [ids("text").alias("ids")]).collect()
