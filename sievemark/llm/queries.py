@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, quality_rules, secrets, sharding, toxicity
+from . import langid, licenses, mixing, neardup, quality_rules, secrets, sharding, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,3 +158,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     ensemble = quality_rules.fit(docs, labels, train_on=~held_out)
     return quality_rules.predict(docs.select("doc_id", "text"), ensemble).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op3_neardup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.near_duplicates(documents(spark, folder), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

@@ -31,7 +31,7 @@ MAX_ROWS = 10_000
 MIN_ROWS = 3
 BEGINNING = 4
 EPOCHS = 6
-ALPHA, BETA, L1, L2 = 3.0, 1.0, 4.0, 0.0
+ALPHA, BETA, L1, L2 = 10.0, 1.0, 8.0, 0.0
 THRESHOLD = 0.7
 SEED = 11
 TO_SPACE = bytes.maketrans(
