@@ -99,7 +99,7 @@ class Hasher:
 
 
 def features(docs: DataFrame, shingle: int, bands: int) -> DataFrame:
-    """doc_id, n, node (digest of the set), sig, keys; the last three are NULL without shingles."""
+    """doc_id, text_hash, n, node (digest of the set), sig, keys; the last three are NULL without shingles."""
     @F.pandas_udf("n long, node binary, sig binary, keys array<long>")
     def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words, hasher = WordHashes(), Hasher(bands)
@@ -114,7 +114,7 @@ def features(docs: DataFrame, shingle: int, bands: int) -> DataFrame:
                     rows.append((0, None, None, None))
             yield pd.DataFrame(rows, columns=["n", "node", "sig", "keys"])
 
-    return docs.select("doc_id", describe("text").alias("f")).select("doc_id", "f.*")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), describe("text").alias("f")).select("doc_id", "text_hash", "f.*")
 
 
 def plausible(rules: list[tuple[int, int]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -255,7 +255,7 @@ def block_pairs(rows: DataFrame, nodes: DataFrame, rules: list[tuple[int, int]])
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
-    """doc_id, n_shingles, node, component_id, kept for every row of ``docs``.
+    """doc_id, text_hash, n_shingles, component, component_id, kept for every row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of at least ``percent`` % of the
     union; ``kept`` says that it is the row's own.
@@ -299,9 +299,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
         nodes.select("node", "first_id").join(labels, "node", "left").join(lowest, "comp", "left")
         .select("node", F.coalesce("_lowest", "first_id").alias("_component"), F.coalesce("comp", "node").alias("_comp"))
     )
-    result = rows.select("doc_id", "n", "node").join(named, "node", "left")
+    result = rows.select("doc_id", "text_hash", "n", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("_component"))
     return result.select(
-        "doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("_comp", "node").alias("component"), component.alias("component_id"),
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("_comp", "node").alias("component"), component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, neardup, quality_rules, secrets, sharding, toxicity
+from . import decontaminate, langid, licenses, mixing, neardup, quality_rules, secrets, sharding, topk, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,3 +164,24 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(documents(spark, folder), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_decontamination")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder.rstrip('/')}/benchmark.parquet")
+    return decontaminate.occurrences(documents(spark, folder), benchmark)
+
+
+OP6_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op6_topk", OP6_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
