@@ -37,8 +37,9 @@ def source_targets(sizes: DataFrame, share: float = SHARE, most: float = MOST, w
     """(source, source_size) → with ``target``: ``share`` of all sizes by weight, at most ``most`` times the size.
 
     What a full source cannot take is shared again by weight. Sources in the order of
-    ``most * size / weight`` fill up one after the other; the first that does not fill
-    fixes the level for all that remain. One row per source; no iteration.
+    ``most * size / weight`` fill up one after the other. The level left for the others rises
+    as long as sources fill and falls after that, so its maximum is the one that holds. One
+    row per source; no iteration.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     turn = (F.row_number().over(by_name) - 1) % len(weights) + 1
@@ -51,8 +52,8 @@ def source_targets(sizes: DataFrame, share: float = SHARE, most: float = MOST, w
         / F.sum("_w").over(filling.rowsBetween(0, Window.unboundedFollowing))
     )
     levelled = capped.withColumn("_level", level)
-    final = F.coalesce(F.min(F.when(F.col("_ratio") >= F.col("_level"), F.col("_level"))).over(everything), F.max("_ratio").over(everything))
-    return levelled.withColumn("target", F.least(F.col("_cap"), final * F.col("_w"))).select("source", "source_size", "target")
+    target = F.least(F.col("_cap"), F.max("_level").over(everything) * F.col("_w"))
+    return levelled.withColumn("target", target).select("source", "source_size", "target")
 
 
 def mix(

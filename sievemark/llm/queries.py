@@ -32,9 +32,9 @@ k AS (SELECT *, -ln((CAST('0x' || substr(md5('17:' || doc_id), 1, 13) AS BIGINT)
              / greatest(0.05::DOUBLE, 1.0::DOUBLE / (1.0::DOUBLE + abs((CASE WHEN size > 0 THEN chars::DOUBLE / size ELSE 0.0 END) - 6.0::DOUBLE) / 6.0::DOUBLE)) AS key FROM d),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, source_size * 2.0::DOUBLE AS cap FROM s),
-l AS (SELECT *, cap / w AS ratio, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
+l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
              / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-t AS (SELECT source, source_size, least(cap, coalesce(min(CASE WHEN ratio >= level THEN level END) OVER (), max(ratio) OVER ()) * w) AS target FROM l),
+t AS (SELECT source, source_size, least(cap, max(level) OVER () * w) AS target FROM l),
 p AS (SELECT k.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs,
              coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
       FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
@@ -103,9 +103,11 @@ OP1_SQL = rf"""
 WITH t(license, grams) AS (VALUES {TEMPLATE_ROWS}),
 u AS (SELECT doc_id, 'line' AS scope, unnest(string_split(text, chr(10))) AS part, unnest(range(len(string_split(text, chr(10))))) AS unit FROM documents
       UNION ALL SELECT doc_id, 'paragraph', unnest(regexp_split_to_array(text, '
-[ 	]*
+[ 	
+]*
 ')), unnest(range(len(regexp_split_to_array(text, '
-[ 	]*
+[ 	
+]*
 '))))
       FROM documents WHERE contains(text, chr(10))
       UNION ALL SELECT doc_id, 'text', text, 0 FROM documents WHERE contains(text, chr(10))),
