@@ -5,7 +5,7 @@
    bands follows from the threshold and the chosen miss probability.
 3. In each bucket the members are compared with one centre, not with each other. A pair
    is compared signature batch by batch; it is dropped once the posterior probability of
-   reaching the threshold falls below the miss probability. Survivors are verified
+   reaching the threshold falls below ``pruned``. Survivors are verified
    on the full shingle sets. Links form components.
 4. Buckets that still hold several components get other centres while large ones remain;
    then all their cross-component pairs are compared, block by block, so that no
@@ -33,7 +33,7 @@ from .common import WordHashes, mix64, written
 SHINGLE, PERCENT = 5, 80
 BAND = 4
 BATCH = 16
-MISS = 1e-6
+MISS, PRUNED = 1e-6, 1e-9
 BLOCK = 256
 EXTRA_ROUNDS = 3
 SEED = 41
@@ -254,7 +254,7 @@ def block_pairs(rows: DataFrame, nodes: DataFrame, rules: list[tuple[int, int]])
     return dealt.repartition("g").sortWithinPartitions("g").mapInPandas(within, "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, miss: float = MISS, pruned: float = PRUNED) -> DataFrame:
     """doc_id, text_hash, n_shingles, component, component_id, kept for every row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of at least ``percent`` % of the
@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     """
     threshold = percent / 100
     bands = band_count(threshold, miss)
-    rules = needed_matches(threshold, miss, bands * BAND)
+    rules = needed_matches(threshold, pruned, bands * BAND)
     rows = written(features(docs, shingle, bands), "neardup-rows")
     nodes = written(
         rows.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node")

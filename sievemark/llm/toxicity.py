@@ -117,7 +117,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_on: Co
     known = known.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     total = known.count()
     chosen = known.filter(unit_hash(seed, F.col("doc_id")) < max_rows / max(total, 1))
-    return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", *columns)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", *columns)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", train_on: Column | None = None, max_rows: int = MAX_ROWS, seed: int = SEED) -> Weights:
