@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .small import pin_small
 
 # Fixed value: the minimum identification confidence of the default policy.
 MIN_CONFIDENCE = 92
@@ -22,7 +21,7 @@ def nan_to_null(column: Column) -> Column:
 
 def members(observations: DataFrame, reference: DataFrame, column: str = "species") -> DataFrame:
     """Rows whose label is in the reference set."""
-    wanted = pin_small(reference.select(column).distinct())
+    wanted = reference.select(column).distinct()
     return observations.join(wanted, column, "left_semi")
 
 
@@ -85,7 +84,7 @@ def item_states(
     the first passing row; ``conflict`` and ``present`` are flags. An item that
     holds a large part of the table is combined before the shuffle.
     """
-    wanted = pin_small(reference.select("species").distinct().withColumn("_member", F.lit(True)))
+    wanted = reference.select("species").distinct().withColumn("_member", F.lit(True))
     member = F.coalesce(F.col("_member"), F.lit(False))
     passing = member & F.coalesce(nan_to_null(F.col("confidence").cast("double")) >= minimum, F.lit(False))
     flagged = observations.join(wanted, "species", "left").select(

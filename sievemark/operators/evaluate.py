@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from .small import one_value, pin_small
+from .small import one_value
 
 
 def accuracy(pairs: DataFrame) -> DataFrame:
@@ -123,12 +123,12 @@ def check_class_count(index: DataFrame, expected: int) -> DataFrame:
 
 def with_label_index(rows: DataFrame, index: DataFrame, column: str) -> DataFrame:
     """Map the label of every row through a shared index."""
-    return rows.join(pin_small(index), column)
+    return rows.join(index, column)
 
 
 def remap_labels(pairs: DataFrame, mapping: DataFrame, source: str, target: str) -> DataFrame:
     """Replace true and predicted label by the group the mapping gives."""
-    small = pin_small(mapping.select(source, target))
+    small = mapping.select(source, target)
     true_side = small.select(F.col(source).alias("y_true"), F.col(target).alias("_t"))
     pred_side = small.select(F.col(source).alias("y_pred"), F.col(target).alias("_p"))
     return (
@@ -139,7 +139,7 @@ def remap_labels(pairs: DataFrame, mapping: DataFrame, source: str, target: str)
 
 def chained_mapping(classes: DataFrame, class_key: str, groups: DataFrame, group_key: str, target: str) -> DataFrame:
     """class → group → group index as one mapping (two joins of class-level tables)."""
-    return classes.join(pin_small(groups.select(group_key, target)), group_key).select(class_key, target)
+    return classes.join(groups.select(group_key, target), group_key).select(class_key, target)
 
 
 def truth_report(predictions: DataFrame, truth: DataFrame, key: str) -> DataFrame:

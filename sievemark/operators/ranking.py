@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import BUCKET_DIGITS, md5_bucket
-from .small import pin_small
 
 
 def bucket_offsets(hashed: DataFrame, label: str) -> DataFrame:
@@ -60,7 +59,7 @@ def quota_cutoffs(
         label,
         F.explode(F.array(*[F.struct(F.lit(n).alias("_cut"), F.col(n).cast("bigint").alias("_rank")) for n in names])).alias("_c"),
     ).select(label, "_c.*")
-    spots = pin_small(
+    spots = (
         bucket_offsets(hashed, label)
         .join(wanted, label)
         .filter((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
@@ -76,7 +75,7 @@ def quota_cutoffs(
         .pivot("_cut", names)
         .agg(F.first(F.struct("_h", "_tie")))
     )
-    return pin_small(edges)
+    return edges
 
 
 def within(cut: Column, digest: Column, tie: Column) -> Column:

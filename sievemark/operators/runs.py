@@ -6,7 +6,7 @@ a history is long: ``run_id, metric, step, value``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .small import one_row
@@ -31,10 +31,10 @@ def history(points: DataFrame, run_id: str, metric: str) -> DataFrame:
     return points.filter((F.col("run_id") == run_id) & (F.col("metric") == metric)).select("step", "value").orderBy("step")
 
 
-def latest_by_name(runs: DataFrame, name: str = "run_name", order: str = "start") -> DataFrame:
-    """Most recent record per name, as an aggregation."""
+def latest_by_name(runs: DataFrame, name: str = "run_name", order: str = "start", key: str = "run_id") -> DataFrame:
+    """Most recent record per name, as an aggregation; of records with equal times the largest id."""
     others = [c for c in runs.columns if c != name]
-    return runs.groupBy(name).agg(F.max_by(F.struct(*others), F.col(order)).alias("_r")).select(name, "_r.*")
+    return runs.groupBy(name).agg(F.max_by(F.struct(*others), F.struct(F.col(order), F.col(key))).alias("_r")).select(name, "_r.*")
 
 
 def first_metric(names: list[str]) -> Column:
@@ -123,21 +123,21 @@ def promote(versions: DataFrame, name: str, source: str = "Staging", target: str
     """New version table: the latest ``source`` version moves to ``target`` and the previous
     holders of ``target`` are archived. Raises when there is no candidate."""
     mine = (F.col("name") == name) & (F.col("stage") == source)
-    if versions.filter(mine).isEmpty():
+    newest = versions.filter(mine).agg(F.max("version")).first()[0]
+    if newest is None:
         raise ValueError(f"no candidate in {source} for {name}")
-    newest = F.max(F.when(F.col("stage") == source, F.col("version"))).over(Window.partitionBy("name"))
-    return versions.withColumn("_newest", newest).withColumn(
+    return versions.withColumn(
         "stage",
-        F.when(mine & (F.col("version") == F.col("_newest")), target)
+        F.when(mine & (F.col("version") == F.lit(newest)), target)
         .when((F.col("name") == name) & (F.col("stage") == target), archive)
         .otherwise(F.col("stage")),
-    ).drop("_newest")
+    )
 
 
 def daily_success(runs: DataFrame, started: str, success: Column, days: int = 14) -> DataFrame:
-    """total, successes and rate per day, for the last ``days`` days that have runs."""
+    """total, successes, failures and rate per day, for the last ``days`` days that have runs."""
     daily = runs.filter(F.col(started).isNotNull()).groupBy(F.to_date(started).alias("day")).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(success).alias("success")
+        F.count(F.lit(1)).alias("total"), F.count_if(success).alias("success"), F.count_if(~success).alias("failed")
     )
     return daily.orderBy(F.desc("day")).limit(days).withColumn(
         "rate", F.round(F.col("success") * 100.0 / F.col("total"), 1)
@@ -145,9 +145,9 @@ def daily_success(runs: DataFrame, started: str, success: Column, days: int = 14
 
 
 def overall_success(runs: DataFrame, success: Column) -> DataFrame:
-    """Total, successes and rate over everything, 0 when empty."""
+    """Total, successes, failures and rate over everything, 0 when empty."""
     rate = F.when(F.count(F.lit(1)) > 0, F.round(F.count_if(success) * 100.0 / F.count(F.lit(1)), 1)).otherwise(0.0)
-    return runs.agg(F.count(F.lit(1)).alias("total"), F.count_if(success).alias("success"), rate.alias("rate"))
+    return runs.agg(F.count(F.lit(1)).alias("total"), F.count_if(success).alias("success"), F.count_if(~success).alias("failed"), rate.alias("rate"))
 
 
 def coverage(packages: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash60, seeded_md5
 from .ranking import class_rank, first_k_per_class, top_n_per_class
-from .small import pin_small
 
 SEED = 42
 DRAWS_PER_COPY = 10_000
@@ -18,9 +17,9 @@ def class_sizes(df: DataFrame, label: str) -> DataFrame:
 
 
 def sample_per_class(df: DataFrame, label: str, key: str, n: int, seed: int = SEED) -> DataFrame:
-    """``n`` random rows of every class."""
-    digest = seeded_md5(seed, F.col(key))
-    return top_n_per_class(df, label, n, digest, key).drop("rank")
+    """``n`` random rows of every class, by one md5 cut per class at any ``n``."""
+    takes = class_sizes(df, label).select(label, F.least(F.col("n"), F.lit(n)).alias("take"))
+    return first_k_per_class(df, label, seeded_md5(seed, F.col(key)), key, takes)
 
 
 def first_per_class(df: DataFrame, label: str, order: str, n: int) -> DataFrame:
@@ -30,13 +29,14 @@ def first_per_class(df: DataFrame, label: str, order: str, n: int) -> DataFrame:
 
 def round_robin(df: DataFrame, label: str, key: str, n: int, seed: int = SEED) -> DataFrame:
     """``n`` rows cycling over the classes, random inside a class, without repeats."""
-    ranked = top_n_per_class(df, label, n, seeded_md5(seed, F.col(key)), key)
+    digest = seeded_md5(seed, F.col(key))
+    ranked = class_rank(sample_per_class(df, label, key, n, seed), label, digest, key)
     return ranked.orderBy("rank", seeded_md5(seed, F.col(label)), label).limit(n)
 
 
 def stratified_takes(sizes: DataFrame, total: int) -> DataFrame:
     """(class, n, take): proportional, at least half of an even share, at most the class."""
-    pinned = pin_small(sizes)
+    pinned = sizes
     whole = Window.partitionBy()
     floor_take = F.greatest(F.lit(1), F.floor(F.floor(F.lit(total) / F.count(F.lit(1)).over(whole)) / 2))
     proportional = F.bround(F.col("n") / F.sum("n").over(whole) * total)
@@ -45,7 +45,7 @@ def stratified_takes(sizes: DataFrame, total: int) -> DataFrame:
 
 def stratified_sample(df: DataFrame, label: str, key: str, total: int, seed: int = SEED) -> DataFrame:
     """About ``total`` rows, proportional to class size with a floor for rare classes."""
-    takes = pin_small(stratified_takes(class_sizes(df, label), total))
+    takes = stratified_takes(class_sizes(df, label), total)
     return first_k_per_class(df, label, seeded_md5(seed, F.col(key)), key, takes)
 
 
@@ -63,7 +63,7 @@ def rebalance(
     Draw ``i`` of a class takes rank ``hash(seed:class:i) mod n + 1``, so the result
     does not depend on the partitioning. Only classes below ``low`` rows are ranked.
     """
-    sizes = pin_small(class_sizes(df, label))
+    sizes = class_sizes(df, label)
     digest = seeded_md5(seed, F.col(key))
     out = [*df.columns, "draw"]
     keep = df.join(sizes.filter(F.col("n").between(low, high)).select(label), label, "left_semi")
@@ -114,7 +114,7 @@ def suffix_copies(df: DataFrame, key: str, order: str, extension: str = ".jpg",
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Row weight 1 / class count."""
-    sizes = pin_small(class_sizes(df, label))
+    sizes = class_sizes(df, label)
     return df.join(sizes, label).withColumn("weight", F.lit(1.0) / F.col("n")).drop("n")
 
 
@@ -127,7 +127,7 @@ def weighted_sample(df: DataFrame, label: str, key: str, draws: int | None = Non
     more than about ``DRAWS_PER_COPY`` draws.
     """
     by_label = Window.partitionBy().orderBy(label)
-    classes = pin_small(
+    classes = (
         class_sizes(df, label)
         .withColumn("_idx", F.row_number().over(by_label) - 1)
         .withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy()))

@@ -1,24 +1,10 @@
-"""Broadcasting with a checked size, and one-row results as columns."""
+"""One-row results as columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_PINNED_ROWS = 20_000
-
-
-def pin_small(df: DataFrame, max_rows: int = MAX_PINNED_ROWS) -> DataFrame:
-    """Compute a class-level table once and mark it for broadcast, if it is small.
-
-    At most ``max_rows + 1`` rows reach the driver. A larger table is returned as
-    it is, so that the join shuffles and adaptive skew handling applies.
-    """
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
 
 def one_value(df: DataFrame, column: str) -> Column:
     """Column of a one-row frame as a scalar subquery: no join, no collect."""

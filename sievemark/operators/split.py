@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_md5
 from .ranking import quota_cutoffs, within
-from .small import pin_small
 
 # Default ratios, seed and split order.
 TRAIN_RATIO = 0.70
@@ -91,8 +90,8 @@ def stratified_split(
     val_ratio: float = VAL_RATIO,
 ) -> DataFrame:
     """Stratified split with exact per-class quotas; ``key`` is unique per row."""
-    counts = pin_small(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
-    quotas = pin_small(split_quotas(counts, label, train_ratio, val_ratio))
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    quotas = split_quotas(counts, label, train_ratio, val_ratio)
     return assign_splits(df, label, seeded_md5(seed, F.col(key)), key, quotas)
 
 
@@ -110,7 +109,7 @@ def group_split(
     """
     groups = df.select(label, group).distinct()
     counts = groups.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    indexed = pin_small(
+    indexed = (
         counts.withColumn("_class_idx", F.row_number().over(Window.partitionBy().orderBy(label)) - 1)
     )
     quotas = group_quotas(indexed, label, train_ratio, val_ratio)

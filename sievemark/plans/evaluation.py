@@ -155,7 +155,7 @@ def _(t: Tables):
     return runs.history(t.run_history, "click", "val_loss")
 
 
-@query("win_latest_by_name", sql("runs", "SELECT run_name, run_id, strftime(start, '%Y-%m-%d %H:%M:%S') AS start FROM runs QUALIFY row_number() OVER (PARTITION BY run_name ORDER BY runs.start DESC) = 1"))
+@query("win_latest_by_name", sql("runs", "SELECT run_name, run_id, strftime(start, '%Y-%m-%d %H:%M:%S') AS start FROM runs QUALIFY row_number() OVER (PARTITION BY run_name ORDER BY runs.start DESC, runs.run_id DESC) = 1"))
 def _(t: Tables):
     return runs.latest_by_name(t.runs).select("run_name", "run_id", start_text())
 
@@ -167,7 +167,7 @@ def _(t: Tables):
 
 
 LATEST = """latest AS (SELECT run_name, coalesce(test_accuracy, val_acc) AS accuracy, coalesce(test_f1, val_f1) AS f1 FROM runs
-QUALIFY row_number() OVER (PARTITION BY run_name ORDER BY start DESC) = 1),
+QUALIFY row_number() OVER (PARTITION BY run_name ORDER BY start DESC, run_id DESC) = 1),
 best AS (SELECT * FROM latest WHERE accuracy IS NOT NULL ORDER BY accuracy DESC, run_name LIMIT 1), base AS (SELECT * FROM latest WHERE run_name = 'view')"""
 
 
@@ -214,14 +214,14 @@ def _(t: Tables):
     return runs.promote(versions(t), "model_2")
 
 
-@query("agg_daily_success", """SELECT strftime(day, '%Y-%m-%d') AS day, total, success, round(success * 100.0::DOUBLE / total, 1) AS rate FROM (
+@query("agg_daily_success", """SELECT strftime(day, '%Y-%m-%d') AS day, total, success, total - success AS failed, round(success * 100.0::DOUBLE / total, 1) AS rate FROM (
 SELECT CAST(ts AS DATE) AS day, count(*) AS total, count(*) FILTER (event_type <> 'error') AS success FROM events GROUP BY 1 ORDER BY 1 DESC LIMIT 14)""")
 def _(t: Tables):
     daily = runs.daily_success(t.log, "ts", F.col("predicted_class") != "error")
     return daily.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
-@query("agg_overall_success", """SELECT count(*) AS total, count(*) FILTER (event_type <> 'error') AS success,
+@query("agg_overall_success", """SELECT count(*) AS total, count(*) FILTER (event_type <> 'error') AS success, count(*) FILTER (event_type = 'error') AS failed,
 round(count(*) FILTER (event_type <> 'error') * 100.0::DOUBLE / count(*), 1) AS rate FROM events""")
 def _(t: Tables):
     return runs.overall_success(t.log, F.col("predicted_class") != "error")

@@ -233,19 +233,22 @@ def _(t: Tables):
     return both_cases(t, drift.drift_job).select("kind", F.col("share_of_drifted_columns").alias("share"), "dataset_drift")
 
 
-VERDICT_CASES = """cases AS (SELECT user_id, event_type, count(*) AS n, avg(50.0::DOUBLE / (50.0::DOUBLE + value)) AS m FROM events GROUP BY 1, 2)"""
+VERDICT_CASES = """slots AS (SELECT event_type, k FROM (SELECT DISTINCT event_type FROM events), (SELECT unnest(range(13)) AS k)),
+cases AS (SELECT s.event_type, s.k, count(e.event_id) AS n, avg(50.0::DOUBLE / (50.0::DOUBLE + value)) AS m FROM slots s LEFT JOIN events e
+ON e.event_type = s.event_type AND datediff('day', DATE '2024-01-01', e.ts) // 3 = s.k GROUP BY 1, 2)"""
 
 
-@query("drift_verdict", f"""WITH {VERDICT_CASES} SELECT user_id, event_type, CASE WHEN n - 10 <= 0 THEN 'no_data' WHEN n < 20 THEN 'insufficient'
+@query("drift_verdict", f"""WITH {VERDICT_CASES} SELECT event_type, CAST(k AS BIGINT) AS slot, CASE WHEN n = 0 THEN 'no_data' WHEN n < 200 THEN 'insufficient'
 WHEN coalesce(CASE WHEN event_type = 'click' THEN m < 0.75 END, CASE WHEN event_type <> 'view' THEN m END >= 0.72, false) THEN 'drift' ELSE 'stable' END AS status FROM cases""")
 def _(t: Tables):
-    cases = t.log.groupBy("user_id", F.col("predicted_class").alias("event_type")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("confidence").alias("m")
-    )
+    """Per event class and three-day slot; the last slots lie after the log and are empty."""
+    slot = F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 3)
+    expected = t.log.select(F.col("predicted_class").alias("event_type")).distinct().select("event_type", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(12).cast("bigint"))).alias("slot"))
+    seen = t.log.groupBy(F.col("predicted_class").alias("event_type"), slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"), F.avg("confidence").alias("m"))
+    cases = expected.join(seen, ["event_type", "slot"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     flag = F.when(F.col("event_type") == "click", F.col("m") < 0.75)
     share = F.when(F.col("event_type") != "view", F.col("m"))
-    rows = F.when(F.col("n") <= 10, 0).otherwise(F.col("n"))
-    return cases.select("user_id", "event_type", drift.verdict(rows, flag, share, 0.72, 20).alias("status"))
+    return cases.select("event_type", "slot", drift.verdict(F.col("n"), flag, share, 0.72, 200).alias("status"))
 
 
 def fr(x: str) -> str:

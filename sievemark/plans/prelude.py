@@ -23,10 +23,10 @@ CTES = {
              "FROM documents d JOIN labels l USING (doc_id))",
     "history": "history AS (SELECT event_type AS run_id, CAST(day(ts) AS BIGINT) AS step, round(avg(value), 6) AS value "
                "FROM events GROUP BY 1, 2)",
-    "runs": "runs AS (SELECT run_name || '-' || day AS run_id, run_name, day, n, start, last, n >= 65 AS finished, "
-            "CASE WHEN n >= 65 THEN acc END AS test_accuracy, acc AS val_acc, "
-            "CASE WHEN n >= 65 THEN low END AS test_f1, low AS val_f1 FROM ("
-            "SELECT predicted_class AS run_name, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, min(ts) AS start, "
+    "runs": "runs AS (SELECT run_name || '-' || d AS run_id, run_name, d AS day, n, start, last, day(start) % 5 <> 0 AS finished, "
+            "CASE WHEN day(start) % 5 <> 0 THEN acc END AS test_accuracy, acc AS val_acc, "
+            "CASE WHEN day(start) % 5 <> 0 THEN low END AS test_f1, low AS val_f1 FROM ("
+            "SELECT predicted_class AS run_name, strftime(ts, '%Y-%m-%d') AS d, count(*) AS n, min(ts) AS start, "
             "max(ts) AS last, round(avg(confidence), 6) AS acc, round(min(confidence), 6) AS low FROM log GROUP BY 1, 2))",
     # stratified split of documents by lang: exact quotas, md5 order
     "sizes": "sizes AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang)",

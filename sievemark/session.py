@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -18,15 +20,21 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 @cache
 def local_folder() -> str:
-    return tempfile.mkdtemp(prefix="sievemark-")
+    folder = tempfile.mkdtemp(prefix="sievemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder for files that executors and driver must both see.
 
     It lies below ``spark.checkpoint.dir``, which a cluster points at shared
-    storage. Only a session without that setting (local tests) gets a temporary
-    folder, one per process.
+    storage; without it only a local master (tests) gets a temporary folder, one per
+    process and removed with it, and any other master is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or local_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = local_folder()
     return f"{base.rstrip('/')}/sievemark/{name}-{uuid.uuid4().hex}"

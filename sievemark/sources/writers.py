@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -86,15 +88,18 @@ def export_log(log: DataFrame) -> DataFrame:
 def store_content(uploads: DataFrame, content: str, root: str) -> DataFrame:
     """Keep each upload once, named by SHA-256; returns the newly stored digests.
 
-    Copies are reduced to one carrier row per digest before the content is moved, and
-    digests already below ``root`` are left out.
+    Digests are reduced and compared with those below ``root`` first; the content moves only for those that stay. A second upload of the same
+    content returns nothing.
     """
     from .readers import exists
 
     spark = uploads.sparkSession
     hashed = uploads.select(F.sha2(F.col(content), 256).alias("hash"), F.col(content).alias("content"))
-    fresh = hashed.filter(F.col("hash").rlike("^[0-9a-f]{64}$")).dropDuplicates(["hash"])
+    digests = hashed.select("hash").filter(F.col("hash").rlike("^[0-9a-f]{64}$")).distinct()
     if exists(spark, root):
-        fresh = fresh.join(spark.read.parquet(root).select("hash"), "hash", "left_anti")
-    fresh.write.mode("append").parquet(root)
-    return spark.read.parquet(root).select("hash")
+        digests = digests.join(spark.read.parquet(root).select("hash"), "hash", "left_anti")
+    stored = f"{root.rstrip('/')}-new-{uuid.uuid4().hex}"
+    digests.write.parquet(stored)
+    fresh = spark.read.schema("hash string").parquet(stored)
+    hashed.join(fresh, "hash").dropDuplicates(["hash"]).write.mode("append").parquet(root)
+    return fresh
