@@ -106,11 +106,11 @@ class Tables:
 
     @cached_property
     def features(self) -> DataFrame:
-        """Documents with their vector; a document without one is unreadable."""
+        """Documents with their vector (one without is unreadable), and vectors without a document (species NULL)."""
         prompts = [*POSITIVE_IDS, *NEGATIVE_IDS]
         vecs = self.vectors.filter(~F.col("vec_id").isin(prompts)).select(F.col("vec_id").alias("doc_id"), "vec")
         docs = self.raw("documents").select("doc_id", F.col("source").alias("species"))
-        return docs.join(vecs, "doc_id", "left").withColumn("item", F.col("doc_id").cast("string"))
+        return docs.join(vecs, "doc_id", "full_outer").withColumn("item", F.col("doc_id").cast("string"))
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -118,8 +118,16 @@ class Tables:
 
     @cached_property
     def logits(self) -> DataFrame:
-        first = F.slice(F.col("vec").cast("array<double>"), 1, LOGIT_COUNT)
-        return self.vectors.select("vec_id", "label", F.transform(first, lambda x: x * 10.0).alias("logits"))
+        """Products of the whole vector with the mean vector of each label, times ten."""
+        vectors = self.vectors.withColumn("vec", F.col("vec").cast("array<double>"))
+        means = vectors.select("label", F.posexplode("vec").alias("pos", "x")).groupBy("label", "pos").agg(F.avg("x").alias("m"))
+        by_label = means.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("c"))
+        one_row = by_label.agg(F.transform(F.sort_array(F.collect_list(F.struct("label", "c"))), lambda s: s["c"]).alias("centres"))
+        product = lambda v, c: F.aggregate(F.zip_with(v, c, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+        # one row with a vector for each of the labels
+        return vectors.join(F.broadcast(one_row)).select(
+            "vec_id", "label", F.transform("centres", lambda c: product(F.col("vec"), c) * 10.0).alias("logits")
+        )
 
     @property
     def class_names(self) -> Column:

@@ -7,6 +7,8 @@ sums inside the bucket; a table with one row per bucket adds the offsets.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ def cumulative(df: DataFrame, value: Column, weights: dict[str, Column], buckets
         *[w.cast("bigint").alias(n) for n, w in weights.items()],
     ).filter(F.col("value").isNotNull())
     probs = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(clean.approxQuantile("value", probs, 0.5 / buckets)))
+    edges = sorted({e for e in clean.approxQuantile("value", probs, 0.5 / buckets) if math.isfinite(e)})
     counts = clean.groupBy("value").agg(*[F.sum(n).alias(n) for n in weights])
     if edges:
         splits = [float("-inf"), *edges, float("inf")]
@@ -79,7 +81,7 @@ def quantile_aggs(probs: dict[str, float], weight: str = "n") -> list[Column]:
 
         low, high = at(F.floor(position)), at(F.ceil(position))
         part = F.max(position - F.floor(position))
-        result.append((low + (high - low) * part).alias(name))
+        result.append(F.when(low == high, low).otherwise(low + (high - low) * part).alias(name))
     return result
 
 

@@ -78,13 +78,16 @@ def size_stats(files: DataFrame, size: str) -> DataFrame:
     )
 
 
-def dimension_counts(images: DataFrame) -> DataFrame:
-    """Readable images per ``WxH``, largest group first."""
-    dims = F.concat_ws("x", "width", "height")
-    return (
-        images.filter(~F.col("corrupt")).groupBy(dims.alias("dimensions"))
-        .agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "dimensions")
-    )
+def extension_counts(files: DataFrame, path: str) -> DataFrame:
+    """Files per lower-case extension (empty without one), largest group first."""
+    extension = F.lower(F.regexp_extract(F.col(path), r"\.([A-Za-z0-9]+)$", 1))
+    return files.groupBy(extension.alias("extension")).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "extension")
+
+
+def dimension_counts(files: DataFrame, width: str, height: str, corrupt: Column) -> DataFrame:
+    """Readable files per ``WxH``, largest group first, with the number of corrupt files on the row of NULL dimensions."""
+    dims = F.when(~corrupt, F.concat_ws("x", width, height))
+    return files.groupBy(dims.alias("dimensions")).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "dimensions")
 
 
 def duplicate_groups(df: DataFrame, digest: Column, key: str) -> DataFrame:

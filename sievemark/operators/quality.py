@@ -26,9 +26,10 @@ def prompt_scores(features: DataFrame, positive: DataFrame, negative: DataFrame,
     Prompts are a handful of vectors by definition and travel as one array each.
     Unreadable items (NULL vector) get NULL scores.
     """
-    pos = positive.agg(F.collect_list(vectors.normalise(F.col(vec))).alias("p")).scalar()
-    neg = negative.agg(F.collect_list(vectors.normalise(F.col(vec))).alias("p")).scalar()
-    unit = features.withColumn("_unit", vectors.normalise(F.col(vec))).withColumn("_pos", pos).withColumn("_neg", neg)
+    pos = positive.agg(F.collect_list(vectors.normalise(F.col(vec))).alias("_pos"))
+    neg = negative.agg(F.collect_list(vectors.normalise(F.col(vec))).alias("_neg"))
+    # one row, attached once
+    unit = features.withColumn("_unit", vectors.normalise(F.col(vec))).join(F.broadcast(pos.join(neg)))
     scored = unit.withColumn(
         "score_positive", vectors.best_dot("_unit", "_pos")
     ).withColumn("score_negative", vectors.best_dot("_unit", "_neg"))
@@ -60,21 +61,13 @@ def with_flag(scores: DataFrame, threshold: float = SCORE_THRESHOLD) -> DataFram
 
 def exclusions(scores: DataFrame, threshold: float, model: str) -> DataFrame:
     """Ledger of the rows that did not pass, with reason and rounded scores."""
-    def ledger(rows: DataFrame, reason: str, rounded: bool) -> DataFrame:
-        return rows.select(
-            "item",
-            "species",
-            F.lit(reason).alias("reason"),
-            F.lit(float(threshold)).alias("threshold"),
-            F.lit(model).alias("model"),
-            *[
-                (F.round(c, 4) if rounded else F.lit(None).cast("double")).alias(c)
-                for c in ("score_positive", "score_negative", "score_final")
-            ],
-        )
-
-    return ledger(failed(scores, threshold), REASON_LOW_SCORE, True).unionByName(
-        ledger(unreadable(scores), REASON_UNREADABLE, False)
+    score = nan_to_null(F.col("score_final"))
+    low = score < threshold
+    lost = scores.filter(low | score.isNull())
+    return lost.select(
+        "item", "species", F.when(low, REASON_LOW_SCORE).otherwise(REASON_UNREADABLE).alias("reason"),
+        F.lit(float(threshold)).alias("threshold"), F.lit(model).alias("model"),
+        *[F.when(low, F.round(c, 4)).alias(c) for c in ("score_positive", "score_negative", "score_final")],
     )
 
 

@@ -49,11 +49,6 @@ def stratified_sample(df: DataFrame, label: str, key: str, total: int, seed: int
     return first_k_per_class(df, label, seeded_md5(seed, F.col(key)), key, takes)
 
 
-def shuffled(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
-    """Whole input in seeded random order."""
-    return df.orderBy(seeded_md5(seed + 1, F.col(key)), key)
-
-
 def rebalance(
     df: DataFrame, label: str, key: str, high: int = 900, low: int = 850, seed: int = SEED
 ) -> DataFrame:

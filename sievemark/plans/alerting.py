@@ -204,12 +204,6 @@ def _(t: Tables):
     return stamped(alerts.inhibit(warning.unionByName(critical)), "at")
 
 
-@query("st_alert_routing")
-def _(t: Tables):
-    intervals = alerts.firing_intervals(held(t), 3600, ["predicted_class"])
-    return stamped(alerts.route(intervals, "predicted_class"), "sent_at")
-
-
 WATCH = windows(360, 60, ", hours AS (SELECT start + INTERVAL 6 HOUR AS tick, avg(confidence) AS mean, count(*) AS n FROM w GROUP BY 1)")
 
 

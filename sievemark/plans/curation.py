@@ -181,3 +181,15 @@ def _(t: Tables):
        "FROM (SELECT count(*) AS n FROM documents GROUP BY sha256(text) HAVING count(*) > 1)")
 def _(t: Tables):
     return profile.duplicate_totals(t.raw("documents"), F.sha2("text", 256))
+
+
+@query("agg_file_extensions", """SELECT lower(regexp_extract(url, '\\.([A-Za-z0-9]+)$', 1)) AS extension, count(*) AS count FROM pages GROUP BY 1""")
+def _(t: Tables):
+    return profile.extension_counts(t.raw("pages"), "url")
+
+
+@query("agg_file_dimensions", """SELECT CASE WHEN n_chars >= 200 THEN (n_chars // 1000) || 'x' || length(lang) END AS dimensions, count(*) AS count FROM documents GROUP BY 1""")
+def _(t: Tables):
+    """Length in thousands against the width of the code; texts below 200 characters count as corrupt."""
+    files = t.raw("documents").select("n_chars", F.expr("n_chars div 1000").alias("w"), F.length("lang").alias("h"))
+    return profile.dimension_counts(files, "w", "h", F.col("n_chars") < 200)

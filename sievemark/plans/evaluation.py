@@ -225,3 +225,8 @@ def _(t: Tables):
 round(count(*) FILTER (event_type <> 'error') * 100.0::DOUBLE / count(*), 1) AS rate FROM events""")
 def _(t: Tables):
     return runs.overall_success(t.log, F.col("predicted_class") != "error")
+
+
+@query("agg_class_count", "SELECT count(DISTINCT lang) AS classes, count(DISTINCT lang) = 4 AS matches FROM documents")
+def _(t: Tables):
+    return evaluate.check_class_count(evaluate.label_index(t.raw("documents"), "lang"), 4)

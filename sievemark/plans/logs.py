@@ -293,3 +293,9 @@ FROM (SELECT event_type, {ARM.format(p=10)} AS arm FROM events WHERE ts >= TIMES
 def _(t: Tables):
     rows = t.current_log.withColumn("arm", canary.arm(F.col("user_id")))
     return rounded(canary.compare(rows, "arm", t.is_error))
+
+
+@query("flt_valid_rows", sql("log", "SELECT id, round(confidence - 0.5, 6) AS confidence FROM log WHERE confidence - 0.5 BETWEEN 0 AND 1"))
+def _(t: Tables):
+    """Confidence lowered by a half, so that some of it is out of range."""
+    return rounded(predlog.valid_rows(t.log.withColumn("confidence", F.col("confidence") - 0.5)).select("id", "confidence"))

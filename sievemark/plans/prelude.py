@@ -11,12 +11,14 @@ CTES = {
     "shift_log": "shift_log AS (SELECT * FROM cur_log WHERE latency_ms >= 30)",
     "unit": "unit AS (SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS vec "
             "FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings))",
-    "scores": "scores AS (SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS item, d.source AS species, s.sp AS score_positive, "
-              "s.sn AS score_negative, s.sp - s.sn AS score_final FROM documents d LEFT JOIN ("
+    "scores": "scores AS (SELECT coalesce(d.doc_id, s.vec_id) AS doc_id, CAST(coalesce(d.doc_id, s.vec_id) AS VARCHAR) AS item, d.source AS species, s.sp AS score_positive, "
+              "s.sn AS score_negative, s.sp - s.sn AS score_final FROM documents d FULL JOIN ("
               "SELECT u.vec_id, max(CASE WHEN p.vec_id <= 2 THEN list_dot_product(u.vec, p.vec) END) AS sp, "
               "max(CASE WHEN p.vec_id >= 3 THEN list_dot_product(u.vec, p.vec) END) AS sn "
               "FROM unit u, unit p WHERE p.vec_id <= 6 AND u.vec_id > 6 GROUP BY u.vec_id) s ON s.vec_id = d.doc_id)",
-    "logits": "logits AS (SELECT vec_id, label, list_transform(embedding[1:10]::DOUBLE[], lambda x: x * 10.0) AS logits FROM embeddings)",
+    "logits": "logits AS (SELECT e.vec_id, e.label, list(list_dot_product(e.embedding::DOUBLE[], c.c) * 10.0 ORDER BY c.label) AS logits FROM embeddings e, "
+              "(SELECT label, list(m ORDER BY pos) AS c FROM (SELECT label, pos, avg(x) AS m FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, "
+              "generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY 1, 2) GROUP BY 1) c GROUP BY e.vec_id, e.label, e.embedding)",
     "probs": "probs AS (SELECT vec_id, label, list_transform(e, lambda x: x / list_sum(e)) AS p FROM ("
              "SELECT vec_id, label, list_transform(logits, lambda x: exp(x - list_max(logits))) AS e FROM logits))",
     "pairs": "pairs AS (SELECT d.doc_id, l.quality AS y_true, CAST(d.n_chars >= 1000 AS INTEGER) AS y_pred "

@@ -228,11 +228,11 @@ def condition_stream(t: Tables):
     return rows.select(F.col("predicted_class").alias("alert"), F.col("ts").alias("at"), (F.col("confidence") < 0.95).alias("active"))
 
 
-@query("st_for_stream", sql("log", """SELECT predicted_class AS alert, strftime(tick, '%Y-%m-%d %H:%M:%S') AS "at", CASE WHEN tick - since >= INTERVAL 3 HOUR THEN 'firing' ELSE 'pending' END AS state FROM (
-SELECT *, min(tick) OVER (PARTITION BY predicted_class, run) AS since FROM (
-SELECT *, sum(fresh) OVER (PARTITION BY predicted_class ORDER BY ts) AS run FROM (
-SELECT predicted_class, ts, date_trunc('second', ts) AS tick, active, CASE WHEN NOT active OR NOT coalesce(lag(active) OVER w, false) OR date_trunc('second', ts) - date_trunc('second', lag(ts) OVER w) > INTERVAL 4 HOUR THEN 1 ELSE 0 END AS fresh
-FROM (SELECT predicted_class, ts, confidence < 0.95 AS active FROM log QUALIFY row_number() OVER (PARTITION BY predicted_class, date_trunc('second', ts) ORDER BY ts) = 1) WINDOW w AS (PARTITION BY predicted_class ORDER BY ts)))
+@query("st_for_stream", sql("log", """SELECT predicted_class AS alert, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "at", CASE WHEN ts - since >= INTERVAL 3 HOUR THEN 'firing' ELSE 'pending' END AS state FROM (
+SELECT *, min(ts) OVER (PARTITION BY predicted_class, run) AS since FROM (
+SELECT *, sum(fresh) OVER (PARTITION BY predicted_class ORDER BY ts, active DESC, event_id) AS run FROM (
+SELECT predicted_class, ts, event_id, active, CASE WHEN NOT active OR NOT coalesce(lag(active) OVER w, false) OR ts - lag(ts) OVER w > INTERVAL 4 HOUR THEN 1 ELSE 0 END AS fresh
+FROM (SELECT predicted_class, ts, event_id, confidence < 0.95 AS active FROM log) WINDOW w AS (PARTITION BY predicted_class ORDER BY ts, active DESC, event_id)))
 WHERE active)"""))
 def _(t: Tables):
     stateful.use_rocksdb(t.spark)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..bindings import LOGIT_COUNT, Tables
 from ..functions import vectors
-from ..operators import evaluate, predlog, quality, scoring
+from ..operators import evaluate, predlog, quality
 from .curation import rounded
 from .prelude import sql
 from .registry import query
@@ -152,59 +152,3 @@ def _(t: Tables):
     other = t.logits.withColumn("logits", F.transform("logits", lambda x: x + x * 0.00001))
     parity = evaluate.output_parity(t.logits, other, "vec_id", "logits")
     return parity.withColumns({c: F.round(c, 9) for c in ("max_abs_diff", "mean_abs_diff")})
-
-
-def slice_model():
-    """Stand-in model: ten times the first components of a vector."""
-    def predict(x):
-        return x[:, :LOGIT_COUNT] * 10.0
-
-    return predict
-
-
-def vector_rows(t: Tables):
-    return t.vectors.select("vec_id", F.col("vec").cast("array<float>").alias("vec"))
-
-
-@query("vec_batch_predict", "SELECT vec_id, round(CAST(embedding[1] * 10.0::FLOAT AS DOUBLE), 4) AS first, round(CAST(embedding[10] * 10.0::FLOAT AS DOUBLE), 4) AS last FROM embeddings")
-def _(t: Tables):
-    out = scoring.batch_predict(vector_rows(t), "vec", slice_model, 64)
-    return out.select(
-        "vec_id", F.round(F.col("logits")[0].cast("double"), 4).alias("first"),
-        F.round(F.col("logits")[LOGIT_COUNT - 1].cast("double"), 4).alias("last"),
-    )
-
-
-@query("vec_score_pipeline", sql("probs", """SELECT d.doc_id, r.vec_id IS NOT NULL AS scored, CASE WHEN r.idx < 9 THEN 'label_' || r.idx ELSE 'class_' || r.idx END AS predicted_class,
-round(r.prob, 4) AS confidence FROM documents d LEFT JOIN (SELECT * FROM ranked WHERE rank = 1) r ON r.vec_id = d.doc_id AND r.vec_id > 6""", TOP))
-def _(t: Tables):
-    rows = t.features.select("doc_id", F.col("vec").cast("array<float>").alias("vec"))
-    scored = scoring.score_pipeline(rows, "vec", 64, slice_model, t.class_names)
-    return scored.select("doc_id", "scored", "predicted_class", F.round("confidence", 4).alias("confidence"))
-
-
-GREY = """px AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: least(greatest(trunc(x * 127 + 128), 0), 255)) AS p FROM embeddings),
-rows2 AS (SELECT vec_id, floor(p[1] * 0.984375 + p[2] * 0.015625 + 0.5) AS h0, floor(p[9] * 0.984375 + p[10] * 0.015625 + 0.5) AS h1 FROM px),
-corner AS (SELECT vec_id, floor(h0 * 0.984375 + h1 * 0.015625 + 0.5) / 255.0::DOUBLE AS v FROM rows2)"""
-
-
-@query("vec_preprocess", f"""WITH {GREY} SELECT vec_id, 150528 AS size, round((v - 0.485::DOUBLE) / 0.229::DOUBLE, 4) AS red,
-round((v - 0.456::DOUBLE) / 0.224::DOUBLE, 4) AS green, round((v - 0.406::DOUBLE) / 0.225::DOUBLE, 4) AS blue FROM corner""")
-def _(t: Tables):
-    """Each vector becomes an 8 × 8 grey image; the result shows the first pixel of every tensor."""
-    level = F.transform(
-        vectors.as_double(F.col("vec")),
-        lambda x: F.least(F.greatest((x * 127 + 128).cast("int"), F.lit(0)), F.lit(255)),
-    )
-    pixels = F.unhex(F.array_join(F.transform(level, lambda v: F.repeat(F.lpad(F.hex(v), 2, "0"), 3)), ""))
-    size = F.lit(8)
-    images = t.vectors.select(
-        "vec_id", size.alias("height"), size.alias("width"), F.lit(3).alias("nChannels"), pixels.alias("data")
-    )
-    tensors = scoring.preprocess_images(images, "vec_id")
-    plane = scoring.CROP_SIDE**2
-
-    def first(channel: int, name: str):
-        return F.round(F.col("tensor")[channel * plane].cast("double"), 4).alias(name)
-
-    return tensors.select("vec_id", F.size("tensor").alias("size"), first(0, "red"), first(1, "green"), first(2, "blue"))

@@ -34,7 +34,8 @@ def workspace(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = local_folder()
     return f"{base.rstrip('/')}/sievemark/{name}-{uuid.uuid4().hex}"

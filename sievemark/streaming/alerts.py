@@ -26,7 +26,6 @@ DEFAULT_LEVELS = {
     "error_rate": ("higher_is_worse", 0.05, 0.10),
 }
 # Notification timing and retraining bounds.
-GROUP_WAIT, GROUP_INTERVAL, REPEAT_INTERVAL = 30, 300, 4 * 3600
 DEGRADED_CONFIDENCE = 0.60
 COOLDOWN = "12 hours"
 
@@ -143,68 +142,6 @@ def inhibit(alerts: DataFrame, name: str = "alert", at: str = "at") -> DataFrame
     return kept.select(*alerts.columns).unionByName(alerts.filter(~warning))
 
 
-def firing_intervals(states: DataFrame, step_seconds: int, by: list[str], at: str = "at") -> DataFrame:
-    """(by…, start, end) of the firing runs on a grid of :func:`held`; end is exclusive."""
-    order = Window.partitionBy(*by).orderBy(at)
-    firing = states.filter(F.col("state") == "firing").select(*by, F.unix_timestamp(at).alias("_s"))
-    number = F.floor(F.col("_s") / step_seconds)
-    runs = firing.withColumn("_run", number - F.row_number().over(Window.partitionBy(*by).orderBy("_s")))
-    return runs.groupBy(*by, "_run").agg(F.min("_s").alias("start"), (F.max("_s") + step_seconds).alias("end")).drop("_run")
-
-
-def route(
-    intervals: DataFrame,
-    name: str = "alert",
-    wait: int = GROUP_WAIT,
-    interval: int = GROUP_INTERVAL,
-    repeat: int = REPEAT_INTERVAL,
-) -> DataFrame:
-    """Notifications of each alert name: (name, sent_at, status).
-
-    ``intervals`` are firing times (name, start, end) in seconds, end exclusive. Firing
-    times of one name whose gap is shorter than wait + interval share a notification
-    session: its first flush comes ``wait`` seconds after its start, further flushes every
-    ``interval``. A flush sends when the state changed since the last notice or when a
-    firing state was last sent at least ``repeat`` ago. A state seen by no flush is not sent.
-    """
-    order = Window.partitionBy(name).orderBy("start", "end")
-    earlier = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(earlier.isNull() | (F.col("start") - earlier >= wait + interval), 1).otherwise(0)
-    sessions = intervals.select(name, "start", "end").withColumn("_new", fresh).withColumn(
-        "_session", F.sum("_new").over(order)
-    )
-    spans = sessions.groupBy(name, "_session").agg(F.min("start").alias("_from"), F.max("end").alias("_to"))
-    # flushes from start + wait up to the first one at or after the end
-    last = F.greatest(F.lit(0), F.ceil((F.col("_to") - F.col("_from") - wait) / interval)).cast("bigint")
-    flushes = spans.select(
-        name, "_session", "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_k")
-    ).withColumn("_at", F.col("_from") + wait + F.col("_k") * interval)
-    # an interval covers the flush numbers ceil((start-from-wait)/interval) … before its end
-    first_k = F.greatest(F.lit(0), F.ceil((F.col("start") - F.col("_from") - wait) / interval)).cast("bigint")
-    last_k = (F.ceil((F.col("end") - F.col("_from") - wait) / interval) - 1).cast("bigint")
-    covered = (
-        sessions.join(spans, [name, "_session"])
-        .select(name, "_session", first_k.alias("a"), last_k.alias("b")).filter("a <= b")
-        .select(name, "_session", F.explode(F.sequence("a", "b")).alias("_k")).distinct()
-        .withColumn("_on", F.lit(True))
-    )
-    states = flushes.join(covered, [name, "_session", "_k"], "left").withColumn(
-        "_on", F.coalesce("_on", F.lit(False))
-    )
-    in_session = Window.partitionBy(name, "_session").orderBy("_k")
-    changed = F.coalesce(F.lag("_on").over(in_session) != F.col("_on"), F.col("_on"))
-    marked = states.withColumn("_changed", changed).withColumn(
-        "_run", F.sum(F.when(F.col("_changed"), 1).otherwise(0)).over(in_session)
-    )
-    place = F.row_number().over(Window.partitionBy(name, "_session", "_run").orderBy("_k")) - 1
-    every = max(1, -(-repeat // interval))
-    sent = (F.col("_run") > 0) & ((F.col("_place") == 0) | (F.col("_on") & (F.col("_place") % every == 0)))
-    return marked.withColumn("_place", place).filter(sent).select(
-        name, F.timestamp_seconds("_at").alias("sent_at"),
-        F.when(F.col("_on"), "firing").otherwise("resolved").alias("status"),
-    )
-
-
 def watchdog(
     log: DataFrame, threshold: float = DEGRADED_CONFIDENCE, length: str = LONG_WINDOW, step: str = "1 hour",
     column: str = "confidence", ts: str = "ts", by: list[str] = [],

@@ -71,10 +71,24 @@ def request_rate(events: DataFrame, length: str = SHORT_WINDOW, slide: str = "1
 
 def counter_increase(samples: DataFrame, series: list[str], value: str = "value", ts: str = "ts") -> DataFrame:
     """Adds ``increase`` to counter samples: the step from the previous sample of the series;
-    after a reset (the value falls) the new value itself. The first sample has none."""
-    previous = F.lag(value).over(Window.partitionBy(*series).orderBy(ts))
+    after a reset (the value falls) the new value itself. The first sample has none; of
+    samples with equal times the smaller value comes first.
+
+    A series is split by day; the last sample of the day before is carried over.
+    """
+    daily = samples.withColumn("_day", F.to_date(ts))
+    keys = [*series, "_day"]
+    last = daily.groupBy(*keys).agg(F.max(F.struct(ts, value)).alias("_last")).withColumn(
+        "_carried", F.lag(F.col("_last")[value]).over(Window.partitionBy(*series).orderBy("_day"))
+    ).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_carried")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    inside = F.lag(value).over(Window.partitionBy(*keys).orderBy(ts, value))
+    joined = daily.withColumn("_inside", inside).join(last, same).withColumn("_previous", F.coalesce("_inside", "_carried"))
+    previous = F.col("_previous")
     step = F.when(F.col(value) < previous, F.col(value)).otherwise(F.col(value) - previous)
-    return samples.withColumn("increase", F.coalesce(step, F.lit(0.0)))
+    return joined.withColumn("increase", F.coalesce(step, F.lit(0.0))).select(*samples.columns, "increase")
 
 
 def counter_rate(

@@ -21,31 +21,37 @@ def use_rocksdb(spark) -> None:
 
 
 class HeldCondition(StatefulProcessor):
-    """Condition samples (key, at, active) → (key, at, since, state)."""
+    """Condition samples (key, at, active) → (key, at, since, state), at full precision.
+
+    Of samples with equal times an inactive one comes last, so that it resets. A late sample counts too: an inactive one inside the
+    current run ends it, an active one gets its state from the run it falls into.
+    """
 
     def __init__(self, hold_seconds: int, step_seconds: int):
-        self.hold = hold_seconds
-        self.step = step_seconds
+        self.hold = hold_seconds * 1_000_000
+        self.step = step_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "since bigint, last bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        points = pd.concat(list(rows)).sort_values("at")
+        points = pd.concat(list(rows)).sort_values(["at", "active"], ascending=[True, False])
         since, last = self.run.get() if self.run.exists() else (None, None)
         out = []
         for at, active in zip(points["at"], points["active"]):
-            now = int(at.timestamp())
-            if last is not None and now <= last:
-                continue
+            now = at.value // 1000
+            late = last is not None and now < last
             if not active:
-                since = None
+                if not late or (since is not None and now >= since):
+                    since = None
             else:
-                if since is None or now - last > self.step:
-                    since = now
-                state = "firing" if now - since >= self.hold else "pending"
-                out.append((key[0], at, pd.Timestamp(since, unit="s"), state))
-            last = now
+                if late:
+                    start = since if since is not None and since <= now else now
+                else:
+                    start = since = now if since is None or now - last > self.step else since
+                state = "firing" if now - start >= self.hold else "pending"
+                out.append((key[0], at, pd.Timestamp(start, unit="us"), state))
+            last = now if last is None else max(last, now)
         if last is not None:
             self.run.update((since, last))
         if out:
