@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: Function words make poor anchors.
+COMMON = {"a", "and", "any", "as", "at", "by", "for", "in", "is", "of", "on", "or", "the", "this", "to", "was", "with"}
 
 #: Licence notices, from their published texts.
 TEMPLATES = [
@@ -54,13 +56,13 @@ def template_bigrams(text: str) -> list[str]:
 
 
 def anchors(templates: list[tuple[str, str]], threshold: float) -> list[str]:
-    """Words of which each unit that reaches the threshold holds one, longest words first."""
+    """Words of which each unit that reaches the threshold holds one; long words first, common ones last."""
     chosen: set[str] = set()
     for _, text in templates:
         grams = template_bigrams(text)
         absent = len(grams) - math.ceil(threshold * len(grams) / (2 - threshold) - 1e-9)
         touched: set[str] = set()
-        for word in sorted(set(template_words(text)), key=lambda w: (w not in chosen, -len(w), w)):
+        for word in sorted(set(template_words(text)), key=lambda w: (w not in chosen, w in COMMON, -len(w), w)):
             if len(touched) > absent:
                 break
             chosen.add(word)
@@ -82,8 +84,13 @@ def matches(docs: DataFrame, *, templates: list[tuple[str, str]] | None = None,
         "license string, _grams array<string>, _size int",
     )
     words = anchors(templates, threshold)
-    near = lambda c: reduce(lambda a, b: a | b, [c.contains(w) for w in words], F.lit(False))
-    lower = docs.select("doc_id", F.lower("text").alias("_text")).filter(near(F.col("_text")))
+    short = [w for w in words if len(w) < 4]
+    tests = [lambda c, w=w: c.contains(w) for w in words if len(w) >= 4]
+    if short:
+        tests.append(lambda c: c.rlike(f"(?<![a-z0-9])(?:{'|'.join(short)})(?![a-z0-9])"))
+    near = lambda c: reduce(lambda a, b: a | b, [t(c) for t in tests], F.lit(False))
+    # exploded, so that the filter stays above it and the text is lower-cased once, not for each anchor
+    lower = docs.select("doc_id", F.explode(F.array(F.lower("text"))).alias("_text")).filter(near(F.col("_text")))
     scoped = lambda scope, parts: F.transform(
         parts, lambda p, i: F.struct(F.lit(scope).alias("scope"), i.alias("unit"), p.alias("part"))
     )
