@@ -7,9 +7,9 @@
    is compared signature batch by batch; it is dropped once the posterior probability of
    reaching the threshold falls below ``pruned``. Survivors are verified
    on the full shingle sets. Links form components.
-4. Buckets that still hold several components get other centres while large ones remain;
-   then all their cross-component pairs are compared, block by block, so that no
-   link between components is left out. Only survivors leave a block.
+4. In buckets that still hold several components, all pairs of members in different
+   components are compared, block by block, so that no link between components is left
+   out. A block gives one verified link for each two components that it joins.
 
 Words are maximal runs without ASCII white space, A-Z lower-cased. A set holds the
 distinct ``shingle``-word shingles as 64-bit hashes; shorter texts are one shingle. NULL, empty and blank texts have
@@ -34,8 +34,8 @@ SHINGLE, PERCENT = 5, 80
 BAND = 4
 BATCH = 16
 MISS, PRUNED = 1e-6, 1e-9
-BLOCK = 256
-EXTRA_ROUNDS = 3
+BLOCK_ITEMS = 400_000
+SENT_ROWS = 200_000
 SEED = 41
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -147,8 +147,11 @@ def survivors(pairs: DataFrame, nodes: DataFrame, rules: list[tuple[int, int]])
     return both.filter(passes("_sa", "_sb")).select("a", "b")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold; only texts that occur in a pair are parsed again."""
+def parsed(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, items): full sets of the nodes in ``wanted``, from the text of the document that stands for each.
+
+    The ids are sent to the texts when they are ``SENT_ROWS`` at most; more are joined by shuffle.
+    """
     @F.pandas_udf("node binary, items binary")
     def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
@@ -156,78 +159,96 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
             found = [shingle_set(t, words, shingle) for t in texts]
             yield pd.DataFrame({"node": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found], "items": [x.tobytes() for x in found]})
 
+    owners = written(nodes.join(wanted, "node").select(F.col("first_id").alias("doc_id"), F.col("node").alias("_node")), "neardup-owners")
+    sent = F.broadcast(owners) if owners.count() <= SENT_ROWS else owners
+    # written before the filter, which would otherwise move the function below the join
+    table = written(docs.select("doc_id", "text").join(sent, "doc_id").select("_node", sets("text").alias("s")), "neardup-sets")
+    return table.filter(F.col("s.node") == F.col("_node")).select("s.node", "s.items")
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Do two full sets share at least ``percent`` % of their union?"""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    common = int((large[at] == small).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def verified(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets, in ``known``, reach the threshold."""
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            small, large = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.searchsorted(large, small)
-            at[at == len(large)] = 0
-            common = int((large[at] == small).sum())
-            out.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pd.Series(out, dtype=bool)
-
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    owners = nodes.join(wanted, "node").select(F.col("first_id").alias("doc_id"), F.col("node").alias("_node"))
-    parsed = docs.select("doc_id", "text").join(owners, "doc_id").select("_node", sets("text").alias("s"))
-    table = written(parsed.filter(F.col("s.node") == F.col("_node")).select("s.node", "s.items"), "neardup-sets")
+        return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b)], dtype=bool)
+
     both = (
-        pairs.join(table.withColumnsRenamed({"node": "b", "items": "_ib"}), "b")
-        .join(table.withColumnsRenamed({"node": "a", "items": "_ia"}), "a")
+        pairs.join(known.withColumnsRenamed({"node": "b", "items": "_ib"}), "b")
+        .join(known.withColumnsRenamed({"node": "a", "items": "_ia"}), "a")
     )
     return both.filter(linked("_ia", "_ib")).select("a", "b").distinct()
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node that each node of ``edges`` (a, b) reaches.
 
-    Alternates large-star and small-star steps until the edges are stars; each step is two
-    aggregations and joins over written edges, with the minimum combined before the shuffle.
+    Alternates large-star and small-star steps until the edges are stars (every node points to
+    one smaller node, which points nowhere); each step is two aggregations and joins over
+    written edges, with the minimum combined before the shuffle.
     """
     high = lambda x, y: (F.greatest(x, y).alias("u"), F.least(x, y).alias("v"))
     current = written(edges.select(*high(F.col("a"), F.col("b"))).filter("u <> v").distinct(), "neardup-edges")
-    state = None
     while True:
-        mark = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if mark == state or not mark[0]:
+        ends = current.select(F.col("u").alias("node"), F.lit(1).alias("up")).union(current.select("v", F.lit(0)))
+        if ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("low")).filter("ups > 1 OR (ups > 0 AND low = 0)").isEmpty():
             break
-        state = mark
         both = current.union(current.select("v", "u")).toDF("x", "y")
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
         large = both.join(least, "x").filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).filter("u <> v")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         current = written(small.union(lowest.select("u", F.col("m").alias("v"))).distinct(), "neardup-edges")
-    return current.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(current.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct()
+    return current.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(current.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def unsettled(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with ``comp``, and the buckets of three members or more that hold several components.
+def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, band, node, comp, main) for the buckets of three members or more that hold several components.
 
-    A bucket of two is settled by its centre.
+    ``main`` marks the component with most members. A bucket of two is settled by its centre.
     """
-    named = members.select("key", "node", "size").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_keys = (
-        named.filter(F.col("size") > 2).groupBy("key").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"))
-        .filter("_low <> _high").select("key")
-    )
-    return named, open_keys
+    named = members.filter("size > 2").select("key", "band", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n"))
+    keys = parts.groupBy("key").agg(F.max(F.struct("_n", "comp")).alias("_main"), F.count(F.lit(1)).alias("_comps")).filter("_comps > 1")
+    return written(named.join(keys, "key").select("key", "band", "node", "comp", (F.col("comp") == F.col("_main.comp")).alias("main")), "neardup-open")
 
 
-def block_pairs(rows: DataFrame, nodes: DataFrame, rules: list[tuple[int, int]]) -> DataFrame:
-    """Cross-component pairs of the buckets in ``rows`` (key, node, comp, size) that pass the sequential test.
+def block_links(rows: DataFrame, nodes: DataFrame, known: DataFrame, rules: list[tuple[int, int]], percent: int) -> DataFrame:
+    """Links (a, b) between the components that meet in a bucket of ``rows``, enough to join them.
 
-    A bucket is dealt into blocks of about ``BLOCK`` nodes; each pair of blocks is one
-    bounded group, so a large bucket spreads over many tasks.
+    Members outside the main component of a bucket meet all others, in blocks of about
+    ``BLOCK_ITEMS`` shingles; each pair of blocks is one bounded group, so a large bucket
+    spreads over many tasks and the work follows the members that are not yet linked. Two
+    members of the main component are never compared. A group tests size, signature
+    and full sets, and gives one link for each two components that it joins.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("_blocks").cast("bigint")).cast("int")
+    width = nodes.select("node", "n")
+    sized = rows.join(width, "node")
+    blocks = lambda held: F.ceil(F.coalesce(F.sum(F.when(held, F.col("n"))), F.lit(0)) / BLOCK_ITEMS)
+    shape = sized.groupBy("key").agg(blocks(~F.col("main")).alias("_o"), blocks(F.col("main")).alias("_m"))
+    random = F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("_m")).otherwise(F.col("_o")))
+    placed = sized.join(shape, "key").withColumn("own", F.when(F.col("main"), F.col("_o") + random).otherwise(random))
+    others = F.sequence(F.lit(0).cast("bigint"), F.when(F.col("main"), F.col("_o")).otherwise(F.col("_o") + F.col("_m")) - 1)
     dealt = (
-        rows.join(nodes.select("node", "sig"), "node").withColumn("_blocks", blocks).withColumn("own", own)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select(F.xxhash64("key", F.least("own", "_other"), F.greatest("own", "_other")).alias("g"), "own", "node", "comp", "sig")
+        placed.withColumn("_other", F.explode(others))
+        .select(F.xxhash64("key", F.least("own", "_other"), F.greatest("own", "_other")).alias("g"), "own", "band", "node", "comp")
+        .join(nodes.select("node", "sig"), "node").join(known.dropDuplicates(["node"]), "node")
     )
+    bands = rules[-1][0] // BAND
 
     def within(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -242,14 +263,23 @@ def block_pairs(rows: DataFrame, nodes: DataFrame, rules: list[tuple[int, int]])
 
     def compare(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
         own, node, sig = group["own"].to_numpy(), group["node"].to_numpy(), matrix(group["sig"])
-        comp = pd.factorize(group["comp"])[0]
-        mixed = len(set(own)) > 1
+        band, comp = int(group["band"].iloc[0]), pd.factorize(group["comp"])[0]
+        sets = [np.frombuffer(x, np.uint64) for x in group["items"]]
+        size, keys = np.array([len(x) for x in sets]), sig.view(np.uint64).reshape(len(sig), bands, -1)
+        mixed, links = len(set(own)) > 1, []
         for i in range(len(group) - 1):
-            other = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((own[i + 1 :] != own[i]) if mixed else True)) + i + 1
-            if len(other):
-                good = other[plausible(rules, np.broadcast_to(sig[i], (len(other), sig.shape[1])), sig[other])]
-                if len(good):
-                    yield pd.DataFrame({"a": [min(node[i], node[j]) for j in good], "b": [max(node[i], node[j]) for j in good]})
+            fits = (comp[i + 1 :] != comp[i]) & (100 * np.minimum(size[i], size[i + 1 :]) >= percent * np.maximum(size[i], size[i + 1 :]))
+            other = np.flatnonzero(fits & (own[i + 1 :] != own[i]) if mixed else fits) + i + 1
+            if not len(other):
+                continue
+            other = other[plausible(rules, np.broadcast_to(sig[i], (len(other), sig.shape[1])), sig[other])]
+            # a pair that shares several buckets is looked at in the first of them
+            for j in other[(keys[other] == keys[i]).all(axis=2).argmax(axis=1) == band]:
+                if comp[i] != comp[j] and similar(sets[i], sets[j], percent):
+                    links.append((min(node[i], node[j]), max(node[i], node[j])))
+                    comp[comp == comp[j]] = comp[i]
+        if links:
+            yield pd.DataFrame(links, columns=["a", "b"])
 
     return dealt.repartition("g").sortWithinPartitions("g").mapInPandas(within, "a binary, b binary").distinct()
 
@@ -266,33 +296,23 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = P
     rows = written(features(docs, shingle, bands), "neardup-rows")
     nodes = written(
         rows.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node")
-        .agg(F.min("doc_id").alias("first_id"), F.max(F.struct("sig", "keys")).alias("f")).select("node", "first_id", "f.*"), "neardup-nodes",
+        .agg(F.min("doc_id").alias("first_id"), F.max(F.struct("n", "sig", "keys")).alias("f")).select("node", "first_id", "f.*"), "neardup-nodes",
     )
-    banded = nodes.select("node", F.explode("keys").alias("key"))
+    banded = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = written(banded.join(shared, "key").select("key", "node", "centre", "size"), "neardup-members")
+    members = written(banded.join(shared, "key").select("key", "band", "node", "centre", "size"), "neardup-members")
     pairs = members.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     tested = written(survivors(pairs, nodes, rules), "neardup-survivors")
-    edges = written(verified(tested, nodes, docs, shingle, percent), "neardup-links")
+    known = parsed(ends(tested), nodes, docs, shingle)
+    edges = written(verified(tested, known, percent), "neardup-links")
     labels = components(edges)
-    for turn in range(EXTRA_ROUNDS + 1):
-        named, open_keys = unsettled(members, labels)
-        left = written(named.join(open_keys, "key", "left_semi"), "neardup-open")
-        large = left.filter(F.col("size") > BLOCK)
-        if turn == EXTRA_ROUNDS or large.isEmpty():
-            more = block_pairs(left, nodes, rules)
-        else:
-            order = F.xxhash64("node", "key", F.lit(turn))
-            centres = large.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "comp")).alias("c")).select("key", "c.node", "c.comp").toDF("key", "a", "_comp")
-            apart = large.join(centres, "key").filter(F.col("comp") != F.col("_comp")).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-            more = survivors(apart, nodes, rules)
-        fresh = written(more.join(tested, ["a", "b"], "left_anti"), "neardup-survivors")
-        if not fresh.isEmpty():
-            tested = tested.union(fresh)
-            edges = edges.union(verified(fresh, nodes, docs, shingle, percent))
-            labels = components(edges)
-        if turn == EXTRA_ROUNDS or large.isEmpty():
-            break
+    left = unsettled(members, labels)
+    missing = written(left.select("node").distinct().join(known.select("node"), "node", "left_anti"), "neardup-missing")
+    if not missing.isEmpty():
+        known = known.union(parsed(missing, nodes, docs, shingle))
+    more = written(block_links(left, nodes, known, rules, percent), "neardup-links")
+    if not more.isEmpty():
+        labels = components(edges.union(more))
     firsts = labels.join(nodes.select("node", "first_id"), "node")
     lowest = firsts.groupBy("comp").agg(F.min("first_id").alias("_lowest"))
     named = (

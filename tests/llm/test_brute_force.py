@@ -61,7 +61,7 @@ def copies(seed, n_base=30, groups=(40, 12, 3)):
 
 @pytest.mark.parametrize("shingle,percent", [(3, 85), (5, 80)])
 def test_neardup_finds_all_links(spark, monkeypatch, shingle, percent):
-    monkeypatch.setattr(neardup, "BLOCK", 8)  # buckets above it take the path of large ones
+    monkeypatch.setattr(neardup, "BLOCK_ITEMS", 400)  # a few texts a block, so that buckets are split
     texts = copies(7)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs, shingle=shingle, percent=percent).collect()}
