@@ -1,10 +1,12 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 The network is trained in numpy by backpropagation through time on windows of ``WINDOW``
-bytes, drawn from a bounded sample: at most about ``docs_per_lang`` documents of a
-language and ``windows_per_doc`` windows of each. Prediction cuts the whole text into
+bytes, drawn from a bounded sample: about ``docs_per_lang`` documents of a language and
+``WINDOWS_PER_DOC`` windows of each. Every language is learned: with more than ``FULL_LANGS``
+of them the documents of each get fewer (one at least), the network gets larger and is
+trained for longer. Prediction cuts the whole text into
 windows of that length, labels every byte of it, and averages the probabilities over the
-document. Fitted weights are a few tens of kB, whatever the corpus.
+document. Fitted weights are a few tens of kB, and some hundred bytes for each language more.
 
 A text that is NULL or has no letter is ``und`` with score 0; so is every text if nothing
 can be learned (no row with text, language and id). Very long texts are processed window
@@ -13,6 +15,7 @@ by window. Repeated rows get equal predictions. Other columns are carried untouc
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,19 +23,25 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unit_hash
+from .common import unit_hash, written
 
 WINDOW = 64
 HIDDEN = 8
 DOCS_PER_LANG = 600
 WINDOWS_PER_DOC = 4
-MAX_LANGS = 64
+FULL_LANGS = 64
 STEPS = 240
 BATCH = 256
 RATE = 0.02
 SEED = 5
 UNKNOWN = "und"
 BLOCK_ROWS, BLOCK_BYTES = 1024, 4_000_000
+CELLS = 2_000_000
+
+
+def growth(langs: int) -> float:
+    """Factor on hidden units and steps: 1 up to ``FULL_LANGS`` languages, from 2 with the root of their number beyond."""
+    return 2 * math.sqrt(langs / FULL_LANGS) if langs > FULL_LANGS else 1.0
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:
@@ -153,8 +162,9 @@ class Model:
             owner = np.repeat(np.arange(start, end), counts)
             lengths = np.full(len(data), WINDOW)
             lengths[np.cumsum(counts) - 1] = [len(t) - (n - 1) * WINDOW for t, n in zip(part, counts)]
-            for i in range(0, len(data), BLOCK_ROWS):
-                rows = slice(i, i + BLOCK_ROWS)
+            block = max(1, BLOCK_ROWS * FULL_LANGS // max(FULL_LANGS, len(self.langs)))
+            for i in range(0, len(data), block):
+                rows = slice(i, i + block)
                 np.add.at(total, owner[rows], self.window_probabilities(data[rows], lengths[rows]))
             start = end
         return total / np.array([len(t) for t in texts])[:, None]
@@ -172,7 +182,9 @@ def train(windows: list[bytes], labels: list[int], langs: list[str], *, steps: i
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     by_lang = [np.flatnonzero(labels == k) for k in range(len(langs))]
     for step in range(1, steps + 1):
-        picked = np.concatenate([rng.choice(rows, max(1, BATCH // len(langs))) for rows in by_lang])
+        # with more languages than places, each step takes other languages
+        turn = by_lang if len(langs) <= BATCH else [by_lang[k] for k in rng.choice(len(langs), BATCH, replace=False)]
+        picked = np.concatenate([rng.choice(rows, max(1, BATCH // len(langs))) for rows in turn])
         x, y, n = np.ascontiguousarray(data[picked].T), labels[picked], lengths[picked]
         a, tape_a = model.ahead.forward(x)
         b, tape_b = model.behind.forward(x[::-1])
@@ -202,30 +214,33 @@ def train(windows: list[bytes], labels: list[int], langs: list[str], *, steps: i
 def fit(docs: DataFrame, *, train_on: Column | None = None, docs_per_lang: int = DOCS_PER_LANG, seed: int = SEED) -> Model:
     """Model from the rows of ``docs`` where ``train_on`` holds and text and lang are there.
 
-    The sample is by a hash of the id, with a rate per language; only windows of it reach
-    the driver: at most about ``MAX_LANGS * docs_per_lang * WINDOWS_PER_DOC * WINDOW`` bytes.
+    The sample is by a hash of the id, with a rate per language that is lower with more than
+    ``FULL_LANGS`` of them; the document of the least hash is always in it. Only windows of it
+    reach the driver: about ``FULL_LANGS * docs_per_lang`` documents, or one of each language
+    if that is more, of ``WINDOWS_PER_DOC * WINDOW`` characters each.
     """
     usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (train_on if train_on is not None else F.lit(True)))
     usable = usable.select("doc_id", "text", "lang").filter(F.col("text").rlike(r"\p{L}"))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not counts:
+    usable = usable.withColumn("_u", unit_hash(seed, F.col("doc_id")))
+    counts = written(usable.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"), F.min("_u").alias("_least")), "langid-counts")
+    langs = sorted(r["_lang"] for r in counts.select("_lang").collect())
+    if not langs:
         return Model([])
-    langs = sorted(r["lang"] for r in counts)
-    rate = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(docs_per_lang / r["count"])) for r in counts], F.lit(0.0))
+    wanted = docs_per_lang * min(1.0, FULL_LANGS / len(langs))
     spots = F.transform(F.sequence(F.lit(1), F.lit(WINDOWS_PER_DOC)), lambda i: F.pmod(
         F.xxhash64("doc_id", i, F.lit(seed)), F.greatest(F.length("text") - WINDOW + 1, F.lit(1)).cast("bigint")).cast("int") + 1)
     rows = (
-        usable.filter(unit_hash(seed, F.col("doc_id")) < rate)
+        usable.join(F.broadcast(counts), F.col("lang") == F.col("_lang"))  # a row for each language
+        .filter((F.col("_u") < F.lit(wanted) / F.col("_n")) | (F.col("_u") == F.col("_least")))
         .select("doc_id", "lang", F.explode(F.transform(F.array_distinct(spots), lambda s: F.col("text").substr(s, F.lit(WINDOW)))).alias("w"))
         .orderBy("doc_id", "lang", "w").collect()
     )
     index = {lang: i for i, lang in enumerate(langs)}
-    seen = sorted({r["lang"] for r in rows})
-    if len(seen) < len(langs):
-        langs, index = seen, {lang: i for i, lang in enumerate(seen)}
-    if not rows:
-        return Model([])
-    return train([r["w"].encode() for r in rows], [index[r["lang"]] for r in rows], langs, seed=seed)
+    grown = growth(len(langs))
+    return train(
+        [r["w"].encode() for r in rows], [index[r["lang"]] for r in rows], langs,
+        steps=round(STEPS * grown), hidden=math.ceil(HIDDEN * grown), seed=seed,
+    )
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -239,10 +254,14 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         rows = np.flatnonzero(texts.notna().to_numpy())
         out = pd.DataFrame({"lang": UNKNOWN, "score": 0.0}, index=texts.index)
         if len(rows):
-            p = model.document_probabilities([t.encode() for t in texts.iloc[rows]])
-            best = p.argmax(axis=1)
-            out.iloc[rows, 0] = np.array(model.langs, dtype=object)[best]
-            out.iloc[rows, 1] = np.clip(p[np.arange(len(best)), best], 0.0, 1.0)
+            names = np.array(model.langs, dtype=object)
+            share = max(1, CELLS // len(names))
+            for i in range(0, len(rows), share):
+                part = rows[i : i + share]
+                p = model.document_probabilities([t.encode() for t in texts.iloc[part]])
+                best = p.argmax(axis=1)
+                out.iloc[part, 0] = names[best]
+                out.iloc[part, 1] = np.clip(p[np.arange(len(best)), best], 0.0, 1.0)
         return out
 
     said = docs.withColumn("_said", label(F.when(known, F.col("text"))))

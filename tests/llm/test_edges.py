@@ -191,3 +191,18 @@ def test_every_stage_takes_edges(spark, docs, empty, tmp_path, benchmark):
                 assert out.columns == frame.columns
             current = out.cache()
             current.count()
+
+
+def test_langid_learns_every_language(spark, monkeypatch):
+    """More languages than FULL_LANGS: each is in the sample, though some have one document, and the sample keeps its bound."""
+    seen = {}
+
+    def train(windows, labels, langs, **options):
+        seen.update(langs=langs, labels=set(labels), windows=len(windows))
+        return langid.Model(langs)
+
+    monkeypatch.setattr(langid, "train", train)
+    rows = [(1000 * k + i, text(30, k), f"l{k:03d}") for k in range(90) for i in range(1 if k % 3 else 40)]
+    got = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), docs_per_lang=3)
+    assert got.langs == [f"l{k:03d}" for k in range(90)] and seen["labels"] == set(range(90))
+    assert seen["windows"] <= (2 * langid.FULL_LANGS * 3 + 90) * langid.WINDOWS_PER_DOC
