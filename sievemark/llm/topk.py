@@ -10,7 +10,8 @@ by Spark. Scores are exact integers; ties go to the smaller id.
 
 Vectors that are NULL or hold NULL or non-finite components, and rows without id, take no
 part. Vectors of different length are not compared. Rows that repeat id and vector count
-once; a query never meets its own id. An empty table gives an empty result.
+once; an id with several vectors takes a place for each of them, as query and as candidate.
+A query never meets its own id. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -161,6 +162,5 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = K) -> DataFrame:
 
     keys = ["dim", "cb", "qb"]
     found = asked.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(block, "query_id long, vec_id long, score long")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

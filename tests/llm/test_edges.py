@@ -3,10 +3,12 @@
 import zlib
 
 import corpus_pipeline
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sievemark.llm import decontaminate, langid, licenses, mixing, neardup, quality_rules, secrets, sharding, topk, toxicity
+from sievemark.llm import decontaminate, langid, licenses, mixing, neardup, quality_rules, queries, secrets, sharding, topk, toxicity
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, score double, size int, node string, hits int, "
@@ -130,6 +132,17 @@ def test_topk(spark):
     assert [tuple(r) for r in got] == [(0, 1, 1, 65536), (0, 2, 2, 32768), (0, 3, 8, -65536)]
 
 
+def test_topk_of_an_id_with_several_vectors(spark):
+    """Rows are ranked as in the SQL: copies of one id with other vectors keep their places."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), *[(1, [2.0, i / 8]) for i in range(7)], *[(i, [1.0, i / 8]) for i in range(2, 9)], (8, [0.5, 0.5])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(vectors, F.col("vec_id") % 50 == 0).collect()
+    embeddings = pd.DataFrame(rows, columns=["vec_id", "embedding"])
+    with duckdb.connect() as con:
+        want = con.register("embeddings", embeddings).execute(queries.OP6_SQL).fetchall()
+    assert len(want) == 5 and sorted(map(tuple, got)) == sorted(want)
+
+
 def test_secrets(spark, docs):
     assert secrets.scan(docs).count() == len(ROWS)
     line = 'login token = "abcdefghijkl0" '
