@@ -241,9 +241,11 @@ ON e.event_type = s.event_type AND datediff('day', DATE '2024-01-01', e.ts) // 3
 @query("drift_verdict", f"""WITH {VERDICT_CASES} SELECT event_type, CAST(k AS BIGINT) AS slot, CASE WHEN n = 0 THEN 'no_data' WHEN n < 200 THEN 'insufficient'
 WHEN coalesce(CASE WHEN event_type = 'click' THEN m < 0.75 END, CASE WHEN event_type <> 'view' THEN m END >= 0.72, false) THEN 'drift' ELSE 'stable' END AS status FROM cases""")
 def _(t: Tables):
-    """Per event class and three-day slot; the last slots lie after the log and are empty."""
+    """Per event class and three-day slot, from the first to the last of the log; three slots after it are empty."""
     slot = F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 3)
-    expected = t.log.select(F.col("predicted_class").alias("event_type")).distinct().select("event_type", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(12).cast("bigint"))).alias("slot"))
+    classes = t.log.select(F.col("predicted_class").alias("event_type")).distinct()
+    slots = t.log.agg(F.min(slot).alias("first"), F.max(slot).alias("last")).select(F.explode(F.sequence("first", F.col("last") + 3)).alias("slot"))
+    expected = classes.crossJoin(slots)
     seen = t.log.groupBy(F.col("predicted_class").alias("event_type"), slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"), F.avg("confidence").alias("m"))
     cases = expected.join(seen, ["event_type", "slot"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     flag = F.when(F.col("event_type") == "click", F.col("m") < 0.75)

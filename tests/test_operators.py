@@ -7,8 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sievemark import plans  # noqa: F401  (fills the registry)
+from sievemark.bindings import Tables
 from sievemark.functions import dates, text, vectors
 from sievemark.operators import baseline, canary, curate, distribution, drift, evaluate, predlog, quality, ranking, runs, sample, split
+from sievemark.plans.registry import QUERIES
 from sievemark.sources import readers, writers
 from sievemark.streaming import alerts, metrics
 
@@ -332,3 +335,13 @@ def test_held_condition_keeps_every_sample():
         (at(0), "pending"), (at(0.8), "pending"), (at(10.5), "pending"), (at(11), "firing"), (at(12), "pending")]
     assert feed((22, True), (11.5, True)) == [(at(11.5), "pending"), (at(22), "firing")]
     assert feed((15, False)) == [] and feed((23, True)) == [(at(23), "pending")]
+
+
+def test_drift_verdict_covers_the_whole_log(spark, tmp_path):
+    """Slots follow the log, also before 2024 and after 39 days; three empty ones come last."""
+    days = [(datetime(2023, 12, 30), 250), (datetime(2024, 1, 1), 1), (datetime(2024, 3, 1), 250)]
+    rows = [(i, day, "click", 50.0, 1, None) for i, day in enumerate(day for day, n in days for _ in range(n))]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, event_type string, value double, user_id long, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r["slot"]: r["status"] for r in QUERIES["drift_verdict"](Tables(spark, str(tmp_path))).collect()}
+    assert sorted(got) == list(range(-1, 24))
+    assert {k: v for k, v in got.items() if v != "no_data"} == {-1: "drift", 0: "insufficient", 20: "drift"}
