@@ -1,6 +1,7 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-Units are the lines, the paragraphs (blocks between blank lines) and the whole text. A unit is lower-cased,
+Units are the lines, the paragraphs (blocks between blank lines) and the whole text. A notice
+that is only part of a longer unit is missed if the other words take the coefficient below t. A unit is lower-cased,
 everything but a-z and 0-9 becomes one space, and its distinct word bigrams are compared
 with those of each template. A coefficient of at least t needs set sizes within a factor
 of ``(2 - t) / t``, so the size bound leaves few templates for a unit. The same bound says
