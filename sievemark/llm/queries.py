@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, mixing, neardup, quality_rules, secrets, sharding, topk, toxicity
+from . import decontaminate, langid, licenses, mixing, neardup, quality_rules, secrets, sharding, suffixes, topk, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +187,13 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     vectors = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op12_suffixes")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.remove_repeats(documents(spark, folder))
+    lost = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + (s["end"] - s["start"]))
+    return found.select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), lost.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
