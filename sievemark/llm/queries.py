@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, mixing, neardup, quality_rules, secrets, sharding, suffixes, topk, toxicity
+from . import conversations, decontaminate, langid, licenses, mixing, neardup, quality_rules, secrets, sharding, suffixes, topk, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,3 +197,8 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), lost.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op13_conversations")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.damage_and_repair(spark.read.parquet(f"{folder.rstrip('/')}/conversations.parquet"))
