@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontaminate, langid, licenses, mixing, neardup, quality_rules, secrets, sharding, suffixes, topk, toxicity
+from . import conversations, decontaminate, langid, licenses, mixing, neardup, quality_rules, secrets, sharding, suffixes, topk, toxicity, whitening
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,3 +202,13 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_conversations")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.damage_and_repair(spark.read.parquet(f"{folder.rstrip('/')}/conversations.parquet"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet"))
+    each = white.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get("explained", F.col("at")).alias("explained"), "identity_error",
+    )
