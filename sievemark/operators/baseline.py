@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import distribution
-from .small import one_row, share_of_total
+from .small import share_of_total
 
 # Histogram edges of the confidence baseline.
 CONFIDENCE_EDGES = [0.0, 0.5, 0.7, 0.8, 0.9, 0.95, 0.99, 1.0]
@@ -25,15 +25,14 @@ def class_baseline(predictions: DataFrame) -> DataFrame:
 
 def global_baseline(predictions: DataFrame) -> DataFrame:
     """Accuracy (when ``correct`` exists), mean and P10/P50/P95 confidence; 0.0 when empty."""
-    correct = F.avg(F.col("correct").cast("double")) if "correct" in predictions.columns else F.lit(None).cast("double")
-    base = predictions.agg(correct.alias("top1_accuracy"), F.avg("confidence").alias("confidence_mean"))
     probs = {"confidence_p10": 0.10, "confidence_p50": 0.50, "confidence_p95": 0.95}
-    q = one_row(distribution.quantiles(predictions, F.col("confidence"), probs))
+    extra = {"right": F.count_if("correct"), "known": F.count("correct")} if "correct" in predictions.columns else {}
+    row = distribution.summarise(predictions, F.col("confidence"), probs, extra=extra)
+    accuracy = F.col("right") / F.nullif(F.col("known"), F.lit(0)) if extra else F.lit(None).cast("double")
     zero = F.lit(0.0)
-    return base.withColumn("_q", q).select(
-        F.coalesce("top1_accuracy", zero).alias("top1_accuracy"),
-        F.coalesce("confidence_mean", zero).alias("confidence_mean"),
-        *[F.coalesce(F.col(f"_q.{p}"), zero).alias(p) for p in probs],
+    return row.select(
+        F.coalesce(accuracy, zero).alias("top1_accuracy"), F.coalesce("mean", zero).alias("confidence_mean"),
+        *[F.coalesce(p, zero).alias(p) for p in probs],
     )
 
 

@@ -1,23 +1,21 @@
 """Drift between a reference and a current prediction log.
 
-Both logs are tagged with their side and reduced together, so each test costs one
-aggregation on (value) with map-side combine; no join of row-level data.
+Both logs are tagged with their side and reduced together to one index: distinct values with
+their number on either side. The index is made by one aggregation with map-side combine and
+merges by addition; chi-square, Jensen-Shannon, KS, Wasserstein, PSI and the moments are all
+read from it, so no test goes back to the rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
+from ..functions.gamma import chi_square_tail
 from ..functions.text import decimal_comma
 from . import distribution
-from .baseline import CONFIDENCE_EDGES, edge_counts
-from .small import one_row, one_value
+from .baseline import CONFIDENCE_EDGES
+from .small import one_row
 
 # Verdict thresholds, significance level, floor of an empty PSI bin.
 DRIFT_SHARE_THRESHOLD = 0.5
@@ -34,74 +32,45 @@ def sides(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataF
     )
 
 
-def align_classes(reference: DataFrame, current: DataFrame, label: str = "predicted_class") -> DataFrame:
-    """(class, n_reference, n_current), 0 on the side that lacks the class."""
-    def counted(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy(label).agg(F.count(F.lit(1)).alias(name))
-
-    zero = F.lit(0)
-    return counted(reference, "n_reference").join(counted(current, "n_current"), label, "full_outer").select(
-        label, F.coalesce("n_reference", zero).alias("n_reference"), F.coalesce("n_current", zero).alias("n_current")
+def index(reference: DataFrame, current: DataFrame, *columns: str) -> DataFrame:
+    """Distinct values of the columns with their rows on either side: ``r`` and ``c``."""
+    return sides(reference, current, list(columns)).groupBy(*columns).agg(
+        F.count_if(~F.col("is_current")).alias("r"), F.count_if("is_current").alias("c")
     )
 
 
-def _side_counts(reference: DataFrame, current: DataFrame, label: str) -> DataFrame:
-    return sides(reference, current, [label]).groupBy(label).agg(
-        F.count_if(~F.col("is_current")).alias("n_reference"), F.count_if("is_current").alias("n_current")
-    )
+def reduced(counts: DataFrame, column: str, numeric: bool = False) -> DataFrame:
+    """The index of one of its columns: ``value``, ``r``, ``c``. A numeric column loses NULL and NaN."""
+    value = F.nullif(F.col(column).cast("double"), F.lit(float("nan"))) if numeric else F.col(column)
+    rows = counts.select(value.alias("value"), "r", "c")
+    rows = rows.filter("value IS NOT NULL") if numeric else rows
+    return rows.groupBy("value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
 
 
-@pandas_udf(T.DoubleType())
-def _chi2_tail(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """P(chi² > x) for an integer degree of freedom; runs on one row per test."""
-    from math import erfc, exp, lgamma, log, sqrt
+def align_classes(reference: DataFrame, current: DataFrame, label: str = "predicted_class") -> DataFrame:
+    """(class, n_reference, n_current), 0 on the side that lacks the class; NULL is a class."""
+    return index(reference, current, label).select(label, F.col("r").alias("n_reference"), F.col("c").alias("n_current"))
 
-    def tail(x, df):
-        if x is None or df is None or x != x or df != df or df < 1:
-            return None
-        if x <= 0:
-            return 1.0
-        half, k = x / 2.0, int(df)
-        if k % 2 == 0:
-            return min(1.0, sum(exp(-half + i * log(half) - lgamma(i + 1)) for i in range(k // 2)))
-        steps = (exp(-half + (i - 0.5) * log(half) - lgamma(i + 0.5)) for i in range(1, (k + 1) // 2))
-        return min(1.0, erfc(sqrt(half)) + sum(steps))
 
-    for stat, df in batches:
-        yield pd.Series([tail(x, k) for x, k in zip(stat, df)], dtype="float64")
+def chi_square_of(classes: DataFrame) -> DataFrame:
+    """Statistic, degrees of freedom and p-value from the index of a categorical column."""
+    whole = classes.withColumn("_t", one_row(classes.agg(F.sum("r").cast("double").alias("r"), F.sum("c").cast("double").alias("c"))))
+    figures = whole.selectExpr("r", "c", "_t.r AS tr", "_t.c AS tc", "(r + c) * _t.r / nullif(_t.r + _t.c, 0) AS er", "(r + c) * _t.c / nullif(_t.r + _t.c, 0) AS ec")
+    stat = figures.agg(
+        F.expr("sum(CASE WHEN tr > 0 AND tc > 0 THEN (r - er) * (r - er) / er + (c - ec) * (c - ec) / ec END)").alias("statistic"),
+        F.expr("CAST(count(1) - 1 AS INT)").alias("df"),
+    )
+    return stat.withColumn("p_value", chi_square_tail(F.col("statistic"), F.col("df")))
 
 
 def chi_square(reference: DataFrame, current: DataFrame, label: str = "predicted_class") -> DataFrame:
     """Chi-square of the class distribution: statistic, degrees of freedom, p-value."""
-    counts = _side_counts(reference, current, label)
-    totals = counts.agg(F.sum("n_reference").alias("r"), F.sum("n_current").alias("c"))
-    tot = one_row(totals)
-    per_class = counts.withColumn("_t", tot).select(
-        "n_reference", "n_current", F.col("_t.r").cast("double").alias("r"), F.col("_t.c").cast("double").alias("c")
-    )
-    both = F.col("n_reference") + F.col("n_current")
-    expected_r, expected_c = both * F.col("r") / (F.col("r") + F.col("c")), both * F.col("c") / (F.col("r") + F.col("c"))
-    part = (F.col("n_reference") - expected_r) ** 2 / expected_r + (F.col("n_current") - expected_c) ** 2 / expected_c
-    usable = (F.col("r") > 0) & (F.col("c") > 0)
-    stat = per_class.agg(
-        F.sum(F.when(usable, part)).alias("statistic"), (F.count(F.lit(1)) - 1).cast("int").alias("df")
-    )
-    return stat.withColumn("p_value", _chi2_tail("statistic", "df"))
-
-
-def _cumulative_sides(reference: DataFrame, current: DataFrame, column: str) -> DataFrame:
-    both = sides(reference, current, [column])
-    weights = {"r": (~F.col("is_current")).cast("int"), "c": F.col("is_current").cast("int")}
-    return distribution.cumulative(both, F.col(column), weights)
-
-
-def _gap() -> Column:
-    return F.abs(F.col("r_cum") / F.col("r_total") - F.col("c_cum") / F.col("c_total"))
+    return chi_square_of(reduced(index(reference, current, label), label))
 
 
 def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     """Two-sided asymptotic p-value of the two-sample statistic (Kolmogorov series)."""
-    lam = statistic * F.sqrt(n * m / (n + m))
+    lam = statistic * F.sqrt(n * m / F.nullif(n + m, F.lit(0.0)))
     terms = F.sequence(F.lit(1), F.lit(KS_TERMS))
     series = F.aggregate(
         terms,
@@ -109,93 +78,111 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
         lambda s, k: s + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(F.lit(-2.0) * k * k * lam * lam),
     )
     # below 0.2 the p-value is 1 to double precision and the series converges slowly
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series * 2.0)))
+    return F.when(lam < 0.2, F.lit(1.0)).when(lam.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), series * 2.0)))
+
+
+GAP = "abs(r_cum / nullif(r_total, 0) - c_cum / nullif(c_total, 0))"
+
+
+def ks_of(values: DataFrame) -> DataFrame:
+    """Statistic and p-value from the index of a numeric column."""
+    stat = distribution.cumulative(values, "value", ["r", "c"]).agg(
+        F.expr(f"max({GAP})").alias("statistic"),
+        F.expr("CAST(max(r_total) AS DOUBLE)").alias("n"), F.expr("CAST(max(c_total) AS DOUBLE)").alias("m"),
+    )
+    return stat.select("statistic", ks_p_value(F.col("statistic"), F.col("n"), F.col("m")).alias("p_value"))
 
 
 def ks(reference: DataFrame, current: DataFrame, column: str = "confidence") -> DataFrame:
     """Two-sample Kolmogorov-Smirnov: largest gap of the empirical distributions, p-value."""
-    stat = _cumulative_sides(reference, current, column).agg(
-        F.max(_gap()).alias("statistic"),
-        F.max("r_total").cast("double").alias("n_reference"),
-        F.max("c_total").cast("double").alias("n_current"),
-    )
-    return stat.withColumn("p_value", ks_p_value(F.col("statistic"), F.col("n_reference"), F.col("n_current"))).select(
-        "statistic", "p_value"
-    )
+    return ks_of(reduced(index(reference, current, column), column, numeric=True))
+
+
+def moments_of(values: DataFrame) -> DataFrame:
+    """rn, rm, rs and cn, cm, cs: number, mean and sample std of either side, one row."""
+    means = one_row(values.agg(F.expr("sum(r * value) / nullif(sum(r), 0)").alias("r"), F.expr("sum(c * value) / nullif(sum(c), 0)").alias("c")))
+    spread = "CASE WHEN sum({0}) > 1 THEN sqrt(sum({0} * (value - m.{0}) * (value - m.{0})) / (sum({0}) - 1)) END"
+    return values.withColumn("m", means).agg(*[
+        F.expr(e).alias(n) for side in "rc"
+        for n, e in ((f"{side}n", f"coalesce(sum({side}), 0)"), (f"{side}m", f"max(m.{side})"), (f"{side}s", spread.format(side)))
+    ])
+
+
+def wasserstein_of(values: DataFrame) -> DataFrame:
+    """Distance, and the same divided by the reference standard deviation, from the index of a numeric column."""
+    width = "coalesce(next_value - value, 0.0D)"
+    distance = distribution.cumulative(values, "value", ["r", "c"]).agg(F.expr(f"sum({GAP} * {width})").alias("distance"))
+    return distance.withColumn("_m", one_row(moments_of(values))).selectExpr("distance", "distance / nullif(_m.rs, 0.0D) AS normed")
 
 
 def wasserstein(reference: DataFrame, current: DataFrame, column: str = "confidence") -> DataFrame:
     """1-D Wasserstein distance, and the same divided by the reference standard deviation."""
-    width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    distance = _cumulative_sides(reference, current, column).agg(F.sum(_gap() * width).alias("distance"))
-    std = one_value(reference.agg(F.stddev_samp(column).alias("s")), "s")
-    return distance.withColumn("normed", F.col("distance") / F.nullif(std, F.lit(0.0)))
+    return wasserstein_of(reduced(index(reference, current, column), column, numeric=True))
+
+
+def jensen_shannon_of(classes: DataFrame) -> DataFrame:
+    """Divergence (base 2, 0 to 1) and its root, the distance, from the index of a categorical column."""
+    tot = one_row(classes.agg(F.sum("r").alias("r"), F.sum("c").alias("c")))
+    shares = classes.withColumn("_t", tot).selectExpr("r / nullif(_t.r, 0) AS p", "c / nullif(_t.c, 0) AS q")
+    parts = [f"CASE WHEN {x} > 0 THEN {x} * log2({x} / ((p + q) / 2.0D)) ELSE 0.0D END" for x in "pq"]
+    total = shares.agg(F.expr(f"greatest(sum({' + '.join(parts)}) / 2.0D, 0.0D)").alias("divergence"))
+    return total.selectExpr("divergence", "sqrt(divergence) AS distance")
 
 
 def jensen_shannon(reference: DataFrame, current: DataFrame, label: str = "predicted_class") -> DataFrame:
     """Jensen-Shannon divergence (base 2, 0 to 1) and its root, the distance."""
-    counts = _side_counts(reference, current, label)
-    tot = one_row(counts.agg(F.sum("n_reference").alias("r"), F.sum("n_current").alias("c")))
-    p, q = F.col("n_reference") / F.col("_t.r"), F.col("n_current") / F.col("_t.c")
-    mid = (F.col("p") + F.col("q")) / 2.0
+    return jensen_shannon_of(reduced(index(reference, current, label), label))
 
-    def part(x: Column) -> Column:
-        return F.when(x > 0, x * F.log2(x / mid)).otherwise(0.0)
 
-    shares = counts.withColumn("_t", tot).select(p.alias("p"), q.alias("q"))
-    total = shares.agg((F.sum(part(F.col("p")) + part(F.col("q"))) / 2.0).alias("d"))
-    divergence = F.greatest(F.col("d"), F.lit(0.0))
-    return total.select(divergence.alias("divergence"), F.sqrt(divergence).alias("distance"))
+def psi_of(values: DataFrame, edges: list[float] = CONFIDENCE_EDGES) -> DataFrame:
+    """Population stability index over fixed bins, from the index of a numeric column."""
+    terms = []
+    for i, (low, high) in enumerate(zip(edges, edges[1:])):
+        inside = f"value >= {low!r}D AND value {'<=' if i == len(edges) - 2 else '<'} {high!r}D"
+        p, q = (f"greatest(coalesce(sum(CASE WHEN {inside} THEN {s} END), 0) / nullif(sum({s}), 0), {PSI_FLOOR!r}D)" for s in "rc")
+        terms.append(f"({q} - {p}) * ln({q} / {p})")
+    return values.agg(F.expr(" + ".join(terms)).alias("psi"))
 
 
 def psi(
     reference: DataFrame, current: DataFrame, column: str = "confidence", edges: list[float] = CONFIDENCE_EDGES
 ) -> DataFrame:
     """Population stability index over fixed bins; an empty bin counts as ``PSI_FLOOR``."""
-    both = sides(reference, current, [column])
-    value = F.nullif(F.col(column), F.lit(float("nan")))
-    ref_side, cur_side = ~F.col("is_current"), F.col("is_current")
-    counts = both.agg(
-        F.array(*edge_counts(value, edges, ref_side)).alias("r"),
-        F.array(*edge_counts(value, edges, cur_side)).alias("c"),
-        F.count_if(ref_side & value.isNotNull()).alias("nr"),
-        F.count_if(cur_side & value.isNotNull()).alias("nc"),
+    return psi_of(reduced(index(reference, current, column), column, numeric=True), edges)
+
+
+def summary_of(counts: DataFrame) -> DataFrame:
+    """``summary`` from the joint index of class and confidence."""
+    classes = reduced(counts, "predicted_class")
+    sizes = classes.agg(
+        F.expr("coalesce(sum(c), 0)").alias("n_current"), F.expr("coalesce(sum(r), 0)").alias("n_reference"),
+        F.expr("count_if(c > 0 AND value IS NOT NULL)").alias("n_current_classes"), F.expr("count_if(r > 0 AND value IS NOT NULL)").alias("n_reference_classes"),
+    )
+    return sizes.withColumn("_m", one_row(moments_of(reduced(counts, "confidence", numeric=True)))).selectExpr(
+        "n_current", "n_reference", "_m.cm AS confidence_current_mean", "_m.rm AS confidence_reference_mean",
+        "_m.cs AS confidence_current_std", "_m.rs AS confidence_reference_std", "n_current_classes", "n_reference_classes",
     )
-    floor = F.lit(PSI_FLOOR)
-    bins = counts.select("nr", "nc", F.explode(F.arrays_zip("r", "c")).alias("b"))
-    p, q = F.greatest(F.col("b.r") / F.col("nr"), floor), F.greatest(F.col("b.c") / F.col("nc"), floor)
-    return bins.agg(F.sum((q - p) * F.log(q / p)).alias("psi"))
 
 
 def summary(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """Sizes, class counts, mean and sample std of the confidence, both sides, one row."""
-    both = sides(reference, current, ["predicted_class", "confidence"])
-    per_class = both.groupBy("predicted_class").agg(
-        F.count_if(~F.col("is_current")).alias("r"), F.count_if("is_current").alias("c")
-    )
-    classes = one_row(per_class.agg(
-        F.count_if(F.col("r") > 0).alias("r"), F.count_if(F.col("c") > 0).alias("c")
-    ))
-    conf = F.nullif(F.col("confidence"), F.lit(float("nan")))
-    ref, cur = F.when(~F.col("is_current"), conf), F.when(F.col("is_current"), conf)
-    return both.agg(
-        F.count_if("is_current").alias("n_current"),
-        F.count_if(~F.col("is_current")).alias("n_reference"),
-        F.avg(cur).alias("confidence_current_mean"),
-        F.avg(ref).alias("confidence_reference_mean"),
-        F.stddev_samp(cur).alias("confidence_current_std"),
-        F.stddev_samp(ref).alias("confidence_reference_std"),
-    ).withColumn("_k", classes).select(
-        "*", F.col("_k.c").alias("n_current_classes"), F.col("_k.r").alias("n_reference_classes")
-    ).drop("_k")
-
-
-def side_by_side(reference: DataFrame, current: DataFrame, column: str = "confidence") -> DataFrame:
-    """Descriptive statistics of one column, one row per side."""
-    def side(name: str, rows: DataFrame) -> DataFrame:
-        return distribution.describe(rows, F.col(column)).select(F.lit(name).alias("side"), "*")
-
-    return side("reference", reference).unionByName(side("current", current))
+    """Sizes, number of named classes, mean and sample std of the confidence, both sides, one row."""
+    return summary_of(index(reference, current, "predicted_class", "confidence"))
+
+
+def side_by_side(reference: DataFrame, current: DataFrame, label: str = "predicted_class", column: str = "confidence") -> DataFrame:
+    """Descriptive statistics, one row per side and column.
+
+    The numeric column has mean, std, min, quartiles and max; the class column the number of
+    its values, the most frequent one (the smaller of two) and how often it occurs.
+    """
+    both = sides(reference, current, [label, column]).withColumn("side", F.expr("CASE WHEN is_current THEN 'current' ELSE 'reference' END"))
+    numbers = distribution.describe(both, F.col(column), ["side"]).withColumn("column", F.lit(column))
+    counts = both.filter(F.col(label).isNotNull()).groupBy("side", F.col(label).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    texts = counts.groupBy("side").agg(
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"),
+        F.min_by("value", F.struct(-F.col("n"), "value")).alias("top"),
+    ).withColumn("column", F.lit(label))
+    return numbers.unionByName(texts, allowMissingColumns=True)
 
 
 def drift_share(*flags: Column) -> Column:
@@ -245,11 +232,11 @@ CATEGORICAL_METHODS = {"chi_square": SIGNIFICANCE, "jensen_shannon": 0.1}
 NUMERIC_METHODS = {"ks": SIGNIFICANCE, "wasserstein": 0.1, "psi": 0.2}
 
 
-def column_drift(reference: DataFrame, current: DataFrame, column: str, method: str, threshold: float | None = None) -> DataFrame:
-    """One row (column, method, score, threshold, drifted) for a chosen method."""
+def drift_of(values: DataFrame, column: str, method: str, threshold: float | None = None) -> DataFrame:
+    """One row (column, method, score, threshold, drifted) from the index of a column."""
     tests = {
-        "chi_square": (chi_square, "p_value"), "ks": (ks, "p_value"), "jensen_shannon": (jensen_shannon, "distance"),
-        "wasserstein": (wasserstein, "normed"), "psi": (psi, "psi"),
+        "chi_square": (chi_square_of, "p_value"), "ks": (ks_of, "p_value"), "jensen_shannon": (jensen_shannon_of, "distance"),
+        "wasserstein": (wasserstein_of, "normed"), "psi": (psi_of, "psi"),
     }
     if method not in tests:
         raise ValueError(f"unknown drift method {method!r}")
@@ -257,12 +244,17 @@ def column_drift(reference: DataFrame, current: DataFrame, column: str, method:
     bound = {**CATEGORICAL_METHODS, **NUMERIC_METHODS}[method] if threshold is None else threshold
     score = F.col(field)
     drifted = score < bound if field == "p_value" else score >= bound
-    return run(reference, current, column).select(
+    return run(values).select(
         F.lit(column).alias("column"), F.lit(method).alias("method"), score.alias("score"),
         F.lit(float(bound)).alias("threshold"), drifted.alias("drifted"),
     )
 
 
+def column_drift(reference: DataFrame, current: DataFrame, column: str, method: str, threshold: float | None = None) -> DataFrame:
+    """One row (column, method, score, threshold, drifted) for a chosen method."""
+    return drift_of(reduced(index(reference, current, column), column, method in NUMERIC_METHODS), column, method, threshold)
+
+
 def drift_job(
     reference: DataFrame,
     current: DataFrame,
@@ -270,16 +262,17 @@ def drift_job(
     numeric: str = "ks",
     require_rows: bool = False,
 ) -> DataFrame:
-    """Baseline, recent window, tests and verdict as one summary row.
+    """Baseline, recent window, tests and verdict as one summary row, from one joint index of both logs.
 
-    ``require_rows`` raises on an empty window, as a scheduled job should; otherwise
-    the verdict is ``no_data``.
+    ``require_rows`` asks at once whether the window is empty and raises, as a scheduled job
+    should; otherwise nothing runs here and the verdict is ``no_data``.
     """
     if require_rows and current.isEmpty():
         raise ValueError("no predictions in the window")
-    cat = one_row(column_drift(reference, current, "predicted_class", categorical))
-    num = one_row(column_drift(reference, current, "confidence", numeric))
-    base = summary(reference, current).withColumn("_cat", cat).withColumn("_num", num)
+    counts = index(reference, current, "predicted_class", "confidence")
+    cat = one_row(drift_of(reduced(counts, "predicted_class"), "predicted_class", categorical))
+    num = one_row(drift_of(reduced(counts, "confidence", numeric=True), "confidence", numeric))
+    base = summary_of(counts).withColumn("_cat", cat).withColumn("_num", num)
     share = drift_share(F.col("_cat.drifted"), F.col("_num.drifted"))
     flagged = base.withColumn("share_of_drifted_columns", share).withColumn(
         "dataset_drift", F.col("share_of_drifted_columns") >= DRIFT_SHARE_THRESHOLD

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
@@ -77,29 +77,19 @@ def reason_page(ledger: DataFrame, reason: str | None, limit: int = 200) -> Data
     return rows.orderBy("item", "species").limit(limit)
 
 
-def score_counts(scores: DataFrame, threshold: float) -> list[Column]:
-    score = nan_to_null(F.col("score_final"))
-    return [
-        F.count(F.lit(1)).alias("total"),
-        F.count(score).alias("valid"),
-        F.count_if(score.isNull()).alias("unreadable"),
-        F.count_if(score >= threshold).alias("passed"),
-        F.count_if(score < threshold).alias("failed"),
-    ]
-
-
 def score_stats(scores: DataFrame, threshold: float = SCORE_THRESHOLD) -> DataFrame:
     """Counts, min, max, mean, sample std and quantiles (4 decimals)."""
     score = nan_to_null(F.col("score_final"))
-    base = scores.agg(
-        *score_counts(scores, threshold),
-        F.round(F.min(score), 4).alias("min"),
-        F.round(F.max(score), 4).alias("max"),
-        F.round(F.avg(score), 4).alias("mean"),
-        F.round(F.stddev_samp(score), 4).alias("std"),
+    counts = {
+        "total": F.count(F.lit(1)), "passed": F.count_if(score >= threshold), "failed": F.count_if(score < threshold),
+    }
+    row = distribution.summarise(scores, score, QUANTILES, extra=counts)
+    return row.select(
+        F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("count", F.lit(0)).alias("valid"),
+        F.coalesce(F.col("total") - F.col("count"), F.lit(0)).alias("unreadable"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("passed", "failed")],
+        *[F.round(c, 4).alias(c) for c in ("min", "max", "mean", "std", *QUANTILES)],
     )
-    q = one_row(distribution.quantiles(scores, score, QUANTILES))
-    return base.withColumn("_q", q).select(*base.columns, *[F.round(F.col(f"_q.{n}"), 4).alias(n) for n in QUANTILES])
 
 
 def class_pass(scores: DataFrame, threshold: float = SCORE_THRESHOLD) -> DataFrame:
@@ -111,10 +101,10 @@ def class_pass(scores: DataFrame, threshold: float = SCORE_THRESHOLD) -> DataFra
 
 
 def kept_by_join(scores: DataFrame, kept: DataFrame) -> DataFrame:
-    """The same report from two tables: all scores and an already filtered manifest."""
+    """The same report from two tables: all scores and an already filtered manifest. NULL is a class."""
     totals = scores.groupBy("species").agg(F.count(F.lit(1)).alias("total"))
-    kept_counts = kept.groupBy("species").agg(F.count(F.lit(1)).alias("kept"))
-    return totals.join(kept_counts, "species", "left").select(
+    kept_counts = kept.groupBy(F.col("species").alias("_species")).agg(F.count(F.lit(1)).alias("kept"))
+    return totals.join(kept_counts, F.col("species").eqNullSafe(F.col("_species")), "left").select(
         "species",
         "total",
         F.coalesce("kept", F.lit(0)).alias("kept"),

@@ -138,12 +138,11 @@ def _(t: Tables):
     return rows.groupBy("predicted_class", F.round("confidence", 6).alias("confidence")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("jn_baseline", sql("log ref_log shift_log", """SELECT coalesce(r.predicted_class, c.predicted_class) AS predicted_class, coalesce(r.n, 0) AS n_reference, coalesce(c.n, 0) AS n_current
-FROM (SELECT predicted_class, count(*) AS n FROM ref_log WHERE predicted_class <> 'view' GROUP BY 1) r
-FULL JOIN (SELECT predicted_class, count(*) AS n FROM shift_log WHERE predicted_class <> 'click' GROUP BY 1) c USING (predicted_class)"""))
+@query("jn_baseline", """SELECT props AS predicted_class, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS n_reference,
+count(*) FILTER (ts >= TIMESTAMP '2024-01-16') AS n_current FROM events GROUP BY 1""")
 def _(t: Tables):
-    reference = t.reference_log.filter("predicted_class <> 'view'")
-    return drift.align_classes(reference, t.shifted_log.filter("predicted_class <> 'click'"))
+    """Whole log on both sides of the split time; the many values of props leave some on one side only."""
+    return drift.align_classes(t.reference_log, t.current_log, "props").withColumnRenamed("props", "predicted_class")
 
 
 # --- drift ---------------------------------------------------------------------------
@@ -180,6 +179,16 @@ def _(t: Tables):
     return both_cases(t, drift.chi_square)
 
 
+@query("drift_categorical_days", """WITH k AS (SELECT dayofweek(ts) AS d, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS r, count(*) FILTER (ts >= TIMESTAMP '2024-01-16') AS c FROM events GROUP BY 1),
+x AS (SELECT sum((r - (r + c) * tr / (tr + tc)) ** 2 / ((r + c) * tr / (tr + tc)) + (c - (r + c) * tc / (tr + tc)) ** 2 / ((r + c) * tc / (tr + tc))) AS x, CAST(count(*) - 1 AS INTEGER) AS df
+FROM k, (SELECT sum(r)::DOUBLE AS tr, sum(c)::DOUBLE AS tc FROM k))
+SELECT round(x, 6) AS statistic, df, round(exp(-x / 2) * (1 + x / 2 + x * x / 8), 6) AS p_value FROM x""")
+def _(t: Tables):
+    """Days of the week as classes: 6 degrees of freedom."""
+    day = F.dayofweek("ts").alias("day")
+    return rounded(drift.chi_square(t.reference_log.select(day), t.current_log.select(day), "day"))
+
+
 @query("drift_numeric", drift_sql("SELECT kind, round(d, 6) AS statistic, round(p, 6) AS p_value FROM ks", KS))
 def _(t: Tables):
     return both_cases(t, drift.ks)
@@ -218,8 +227,10 @@ def _(t: Tables):
 
 
 @query("drift_summary_stats", sql("log ref_log cur_log", " UNION ALL ".join(
-    f"""SELECT '{side}' AS side, count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS q25,
-round(quantile_cont(v, 0.5), 6) AS q50, round(quantile_cont(v, 0.75), 6) AS q75, round(max(v), 6) AS max FROM (SELECT confidence AS v FROM {table})"""
+    f"""SELECT '{side}' AS side, 'confidence' AS "column", count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS q25,
+round(quantile_cont(v, 0.5), 6) AS q50, round(quantile_cont(v, 0.75), 6) AS q75, round(max(v), 6) AS max, NULL::BIGINT AS "unique", NULL::VARCHAR AS top, NULL::BIGINT AS freq FROM (SELECT confidence AS v FROM {table})
+UNION ALL SELECT '{side}', 'predicted_class', CAST(sum(n) AS BIGINT), NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*), arg_min(v, {{'n': -n, 'v': v}}), max(n)
+FROM (SELECT predicted_class AS v, count(*) AS n FROM {table} GROUP BY 1)"""
     for side, table in (("reference", "ref_log"), ("current", "cur_log")))))
 def _(t: Tables):
     return rounded(drift.side_by_side(t.reference_log, t.current_log))

@@ -74,7 +74,7 @@ def _(t: Tables):
 def _(t: Tables):
     path = workspace(t.spark, "quality-report")
     writers.write_class_report(quality.class_pass(t.scores), "species", path)
-    return readers.class_report_json(t.spark, path, "struct<total: bigint, kept: bigint, excluded: bigint>")
+    return readers.class_report_json(t.spark, path, "total bigint, kept bigint, excluded bigint")
 
 
 @query("snk_report", sql("scores", """SELECT item, species, CASE WHEN score_final IS NULL THEN 'unreadable' ELSE 'low_score' END AS reason, round(score_final, 4) AS score_final

@@ -95,8 +95,15 @@ def images(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def class_report_json(spark: SparkSession, path: str, value: str, field: str = "per_class") -> DataFrame:
-    """Rows of a report whose ``field`` maps class names to structs of type ``value``."""
+def class_report_json(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """Rows of a class report: ``label`` and the ``fields`` (as in a schema string); a missing report is an error."""
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.schema(f"label string, {fields}").json(path)
+
+
+def class_map_json(spark: SparkSession, path: str, value: str, field: str = "per_class") -> DataFrame:
+    """Rows of one document whose ``field`` maps class names to structs of type ``value``."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
     report = spark.read.schema(f"`{field}` map<string, {value}>").json(path, multiLine=True)

@@ -37,12 +37,13 @@ def write_rows_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("errorifexists").json(path)
 
 
-def write_class_report(rows: DataFrame, label: str, path: str, field: str = "per_class") -> None:
-    """One JSON report with a map keyed by class. ``rows`` has one row per class."""
+def write_class_report(rows: DataFrame, label: str, path: str) -> None:
+    """JSON report with one line per class, so that any number of classes is written by all tasks.
+
+    ``rows`` has one row per class; NULL is a class and stays NULL, empty fields are written too.
+    """
     fields = [c for c in rows.columns if c != label]
-    entry = F.struct(F.col(label), F.struct(*fields))
-    report = rows.agg(F.map_from_entries(F.collect_list(entry)).alias(field))
-    report.select(F.to_json(F.struct(field)).alias("value")).write.mode("errorifexists").text(path)
+    rows.select(F.col(label).alias("label"), *fields).write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
 
 
 def write_snapshot(rows: DataFrame, root: str, day: str) -> None:
