@@ -97,30 +97,25 @@ def _(t: Tables):
     return evaluate.skipped_items(t.predicted_pairs, t.truth, "doc_id")
 
 
-PARITY = """l AS (SELECT id, predicted_class, confidence FROM log WHERE user_id <> 13),
-r AS (SELECT id, predicted_class, CASE WHEN predicted_class = 'signup' AND latency_ms > 20 THEN confidence + 0.001 ELSE confidence + 0.0000001 END AS confidence
-FROM log WHERE predicted_class <> 'view' OR latency_ms > 5),
-j AS (SELECT coalesce(l.id, r.id) AS id, coalesce(l.predicted_class = r.predicted_class AND abs(l.confidence - r.confidence) <= 1e-6, false) AS ok FROM l FULL JOIN r ON l.id = r.id)"""
+PARITY = """j AS (SELECT coalesce(d.doc_id, l.doc_id) AS doc_id,
+coalesce(CAST(d.n_chars >= 1000 AS INTEGER) = l.quality AND abs(1.0::DOUBLE - (1.0::DOUBLE + l.toxic * 0.001::DOUBLE + 0.0000001::DOUBLE)) <= 1e-6, false) AS ok FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id)"""
 
 
-@query("jn_parity", sql("log", "SELECT id, CASE WHEN ok THEN 'OK' ELSE 'FAIL' END AS status FROM j", PARITY))
+def two_systems(t: Tables):
+    """Whole tables: the class by length of every document, and the labels, sure of themselves but for toxic ones."""
+    left = t.predicted_pairs.select("doc_id", F.col("y_pred").alias("predicted_class"), F.lit(1.0).alias("confidence"))
+    sure = F.lit(1.0) + F.col("toxic") * 0.001 + 0.0000001
+    return left, t.raw("labels").select("doc_id", F.col("quality").alias("predicted_class"), sure.alias("confidence"))
+
+
+@query("jn_parity", sql("", "SELECT doc_id, CASE WHEN ok THEN 'OK' ELSE 'FAIL' END AS status FROM j", PARITY))
 def _(t: Tables):
-    # two systems that miss different items and differ by a rounding error or by more
-    left = t.log.filter("user_id <> 13")
-    wrong = (F.col("predicted_class") == "signup") & (F.col("latency_ms") > 20)
-    right = t.log.filter("predicted_class <> 'view' OR latency_ms > 5").withColumn(
-        "confidence", F.col("confidence") + F.when(wrong, 0.001).otherwise(0.0000001)
-    )
-    return evaluate.parity(left, right, "id").select("id", "status")
+    return evaluate.parity(*two_systems(t), "doc_id").select("doc_id", "status")
 
 
-@query("jn_parity_totals", sql("log", "SELECT count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS fail FROM j", PARITY))
+@query("jn_parity_totals", sql("", "SELECT count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS fail FROM j", PARITY))
 def _(t: Tables):
-    wrong = (F.col("predicted_class") == "signup") & (F.col("latency_ms") > 20)
-    right = t.log.filter("predicted_class <> 'view' OR latency_ms > 5").withColumn(
-        "confidence", F.col("confidence") + F.when(wrong, 0.001).otherwise(0.0000001)
-    )
-    return evaluate.parity_totals(evaluate.parity(t.log.filter("user_id <> 13"), right, "id"))
+    return evaluate.parity_totals(evaluate.parity(*two_systems(t), "doc_id"))
 
 
 @query("st_release_gate", sql("pairs", "SELECT round(avg(f1), 6) AS f1_macro, avg(f1) >= 0.5 AS released FROM per", LABELS))

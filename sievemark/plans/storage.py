@@ -91,10 +91,12 @@ def _(t: Tables):
 @query("snk_snapshot", sql("history", "SELECT 'dated' AS kind, run_id, step AS best_step, value AS best_value FROM history QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY value, step) = 1 "
        "UNION ALL SELECT 'current', run_id, step, value FROM history QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY value, step) = 1"))
 def _(t: Tables):
+    # an earlier snapshot is replaced by the next one as a whole
     root = workspace(t.spark, "analysis")
-    writers.write_snapshot(runs.best_step(t.run_history), root, "2024-01-31")
-    dated = t.spark.read.parquet(f"{root}/dt=2024-01-31").select(F.lit("dated").alias("kind"), "*")
-    return dated.unionByName(t.spark.read.parquet(f"{root}/current").select(F.lit("current").alias("kind"), "*"))
+    writers.write_snapshot(runs.best_step(t.run_history), root, "2024-01-30")
+    dated = writers.write_snapshot(runs.best_step(t.run_history), root, "2024-01-31")
+    rows = t.spark.read.parquet(dated).select(F.lit("dated").alias("kind"), "*")
+    return rows.unionByName(readers.current_snapshot(t.spark, root).select(F.lit("current").alias("kind"), "*"))
 
 
 @query("snk_content_store", "SELECT DISTINCT sha256(text) AS hash FROM documents")
@@ -208,8 +210,9 @@ def _(t: Tables):
 
 @query("st_dedup_stream", "SELECT md5(CAST(user_id AS VARCHAR)) AS image_hash FROM events GROUP BY user_id")
 def _(t: Tables):
-    unique = stateful.dedup_stream(event_stream(t), "image_hash", watermark="40 days")
-    return drained(t, unique.select("image_hash"), "stream-dedup")
+    path, checkpoint = workspace(t.spark, "stored-once"), workspace(t.spark, "stored-once-checkpoint")
+    writers.store_once(event_stream(t).select("image_hash"), "image_hash", path, checkpoint).awaitTermination()
+    return t.spark.read.schema("image_hash string").parquet(path)
 
 
 @query("st_rate_stream", sql("log", """SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, predicted_class, count(*) AS n FROM (
@@ -236,8 +239,10 @@ FROM (SELECT predicted_class, ts, event_id, confidence < 0.95 AS active FROM log
 WHERE active)"""))
 def _(t: Tables):
     stateful.use_rocksdb(t.spark)
-    out = drained(t, stateful.held_stream(condition_stream(t), 3 * 3600, 4 * 3600), "stream-held")
-    return out.select("alert", dates.stamp(F.col("at")).alias("at"), "state")
+    path, checkpoint = workspace(t.spark, "stream-held"), workspace(t.spark, "stream-held-checkpoint")
+    writers.upsert_log(stateful.held_runs(condition_stream(t), 3 * 3600, 4 * 3600), path, checkpoint).awaitTermination()
+    out = readers.latest_rows(t.spark, path, stateful.HELD_SCHEMA, ["alert", "at"])
+    return out.select("alert", dates.stamp(F.col("at")).alias("at"), "state", F.explode(F.sequence(F.lit(1), F.col("samples"))).alias("_i")).drop("_i")
 
 
 @query("st_cooldown_stream", sql("log", """SELECT predicted_class AS key, strftime(tick, '%Y-%m-%d %H:%M:%S') AS "at" FROM f WHERE hit""",

@@ -53,6 +53,29 @@ def first_existing(spark: SparkSession, *paths: str) -> str:
     raise FileNotFoundError(f"none of these exists: {', '.join(paths)}")
 
 
+def pointers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the committed pointers of a snapshot; a pointer counts once its write has ended."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_current/*/_SUCCESS")
+    found = base.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(base)
+    return [int(f.getPath().getParent().getName()) for f in found or []]
+
+
+def current_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of the snapshot committed last; an error when there is none."""
+    committed = pointers(spark, root)
+    if not committed:
+        raise FileNotFoundError(f"{root}/_current")
+    folder = spark.read.text(f"{root}/_current/{max(committed):012d}").first()[0]
+    return spark.read.parquet(f"{root}/{folder}")
+
+
+def latest_rows(spark: SparkSession, root: str, schema: str, keys: list[str]) -> DataFrame:
+    """Last version of every row that ``writers.upsert_log`` has written."""
+    fields = [f.name for f in T.StructType.fromDDL(schema) if f.name not in keys]
+    rows = spark.read.schema(f"{schema}, batch bigint").parquet(root)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*fields), "batch").alias("_v")).select(*keys, "_v.*")
+
+
 def manifest_split(rows: DataFrame, split: str, limit: int | None = None) -> DataFrame:
     """Manifest rows of one split; an empty split is an error."""
     chosen = rows.filter(F.col("split") == split)

@@ -46,10 +46,22 @@ def write_class_report(rows: DataFrame, label: str, path: str) -> None:
     rows.select(F.col(label).alias("label"), *fields).write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
 
 
-def write_snapshot(rows: DataFrame, root: str, day: str) -> None:
-    """Dated snapshot plus a ``current`` copy of it."""
-    rows.write.mode("overwrite").parquet(f"{root}/dt={day}")
-    rows.sparkSession.read.parquet(f"{root}/dt={day}").write.mode("overwrite").parquet(f"{root}/current")
+def write_snapshot(rows: DataFrame, root: str, day: str) -> str:
+    """Dated snapshot, committed as the current one by a pointer; returns its folder.
+
+    Rows go to a fresh folder ``dt=<day>/<id>``; only when it is complete does one more small
+    folder below ``_current`` name it. Pointers are numbered and only added, so a reader sees
+    the old or the new rows at any time, and a write that is killed leaves the old ones. Of
+    two writers that commit at once one fails.
+    """
+    from .readers import pointers
+
+    spark = rows.sparkSession
+    folder = f"dt={day}/{uuid.uuid4().hex}"
+    rows.write.parquet(f"{root}/{folder}")
+    number = max(pointers(spark, root), default=0) + 1
+    spark.createDataFrame([(folder,)], "folder string").coalesce(1).write.mode("errorifexists").text(f"{root}/_current/{number:012d}")
+    return f"{root}/{folder}"
 
 
 def log_rows(predictions: DataFrame) -> DataFrame:
@@ -81,6 +93,36 @@ def append_table(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def store_once(rows: DataFrame, key: str, root: str, checkpoint: str) -> StreamingQuery:
+    """Drain a stream into ``root``, each key once for good (NULL is a key); returns the query.
+
+    No state holds the keys: every micro-batch is compared with what earlier batches stored and
+    written to the folder of its own number, which a replay of the batch replaces. Late rows
+    count as any others.
+    """
+    from .readers import exists
+
+    def commit(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates([key])
+        if exists(batch.sparkSession, root):
+            stored = batch.sparkSession.read.schema(f"{fresh.schema.simpleString()[7:-1].replace(':', ' ')}, batch bigint").parquet(root)
+            earlier = stored.filter(F.col("batch") < number).select(F.col(key).alias("_stored"))
+            fresh = fresh.join(earlier, F.col(key).eqNullSafe(F.col("_stored")), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{root}/batch={number}")
+
+    return rows.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upsert_log(rows: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Drain an update-mode stream into ``root``, one folder per micro-batch; ``readers.latest_rows`` gives the last version of each row."""
+    def commit(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/batch={number}")
+
+    return (
+        rows.writeStream.outputMode("update").foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def export_log(log: DataFrame) -> DataFrame:
     """Log rows with the top entries as JSON text, for row-oriented consumers."""
     return log.withColumn("top5_json", F.to_json("top5")).drop("top5")

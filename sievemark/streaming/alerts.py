@@ -6,6 +6,10 @@ size is the observed time span over the step and does not grow with the event ra
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -154,23 +158,73 @@ def watchdog(
     return means.withColumn("degraded", F.coalesce(F.col("mean") <= threshold, F.lit(False)))
 
 
-def cooled_triggers(candidates: DataFrame, by: list[str], at: str = "at", cooldown: str = COOLDOWN) -> DataFrame:
-    """Candidates that trigger: the last trigger is at least ``cooldown`` ago.
+#: Cooldowns to a time block of ``cooled_triggers``.
+BLOCK_COOLDOWNS = 64
+
 
-    A candidate that follows its predecessor by the cooldown or more always triggers, so
-    the sequence is cut there and each piece is folded on its own.
+def block_exits(times: np.ndarray, hold: int) -> np.ndarray:
+    """For each of the sorted times of a block: when the next trigger may follow if one falls there.
+
+    Only times of later cooldown slots are pointed to, so slots are filled from the last one.
     """
-    hold = seconds(cooldown)
-    order = Window.partitionBy(*by).orderBy("_s")
-    timed = candidates.select(*by, F.unix_timestamp(at).alias("_s")).distinct()
-    gap = F.col("_s") - F.lag("_s").over(order)
-    pieces = timed.withColumn("_cut", F.when(gap < hold, 0).otherwise(1)).withColumn("_piece", F.sum("_cut").over(order))
+    following = np.searchsorted(times, times + hold)
+    out = times + hold
+    slots = times // hold
+    starts = np.r_[np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]]), len(times)]
+    for a, z in zip(starts[-2::-1], starts[:0:-1], strict=True):
+        inside = following[a:z] < len(times)
+        out[a:z][inside] = out[following[a:z][inside]]
+    return out
 
-    def advance(kept: Column, t: Column) -> Column:
-        free = (F.size(kept) == 0) | (t - F.element_at(kept, -1) >= hold)
-        return F.when(free, F.concat(kept, F.array(t))).otherwise(kept)
 
-    folded = pieces.groupBy(*by, "_piece").agg(
-        F.aggregate(F.sort_array(F.collect_list("_s")), F.array().cast("array<bigint>"), advance).alias("_kept")
-    )
-    return folded.select(*by, F.explode("_kept").alias("_s")).select(*by, F.timestamp_seconds("_s").alias(at))
+def cooled_triggers(candidates: DataFrame, by: list[str], at: str = "at", cooldown: str = COOLDOWN) -> DataFrame:
+    """Candidates that trigger: the last trigger is at least ``cooldown`` ago. Whole seconds; NULL is a key.
+
+    Time is cut into blocks of 64 cooldowns, and a block of a key is a group of its own, bounded
+    by its seconds. A block is first reduced to a function: for every candidate that could be
+    its first trigger (those of its first cooldown, and the first after it), when the block
+    lets the next trigger follow. The functions of a key are applied in time order, and each
+    block is then walked from its true first trigger. A key without gaps so spreads over tasks.
+    """
+    hold = seconds(cooldown)
+    span = hold * BLOCK_COOLDOWNS
+    kinds = {f.name: f.dataType.simpleString() for f in candidates.schema.fields if f.name in by}
+    keys = [f"_k{i}" for i in range(len(by))]
+    timed = candidates.filter(F.col(at).isNotNull()).select(
+        *[F.col(c).cast("string").alias(k) for c, k in zip(by, keys, strict=True)], F.unix_timestamp(at).alias("_s")
+    ).distinct().withColumn("_block", F.floor(F.col("_s") / span))
+    schema = ", ".join([*[f"{k} string" for k in keys], "_block bigint"])
+
+    def reduce(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        times = np.sort(rows["_s"].to_numpy())
+        exits = block_exits(times, hold)
+        entries = np.searchsorted(times, int(key[-1]) * span + hold) + 1
+        return pd.DataFrame({**dict(zip([*keys, "_block"], key, strict=True)), "_entry": times[:entries], "_exit": exits[:entries]})
+
+    def chain(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, free, last = None, None, None
+        for frame in frames:
+            rows = []
+            for *key, block, entry, leave in frame.itertuples(index=False):
+                if current != key:
+                    current, free, last = key, None, None
+                if block != last and (free is None or entry >= free):
+                    rows.append((*key, block, entry))
+                    free, last = leave, block
+            if rows:
+                yield pd.DataFrame(rows, columns=[*keys, "_block", "_entry"])
+
+    def walk(key: tuple, rows: pd.DataFrame, first: pd.DataFrame) -> pd.DataFrame:
+        times, kept = np.sort(rows["_s"].to_numpy()), []
+        i = int(np.searchsorted(times, first["_entry"].iloc[0])) if len(first) else len(times)
+        while i < len(times):
+            kept.append(times[i])
+            i = int(np.searchsorted(times, times[i] + hold))
+        return pd.DataFrame({**dict(zip([*keys, "_block"], key, strict=True)), "_s": np.array(kept, np.int64)})
+
+    grouped = timed.groupBy(*keys, "_block")
+    functions = grouped.applyInPandas(reduce, f"{schema}, _entry bigint, _exit bigint")
+    ordered = functions.repartition(*keys) if keys else functions.coalesce(1)
+    first = ordered.sortWithinPartitions(*keys, "_block", "_entry").mapInPandas(chain, f"{schema}, _entry bigint")
+    walked = grouped.cogroup(first.groupBy(*keys, "_block")).applyInPandas(walk, f"{schema}, _s bigint")
+    return walked.select(*[F.col(k).cast(kinds[c]).alias(c) for c, k in zip(by, keys, strict=True)], F.timestamp_seconds("_s").alias(at))

@@ -61,6 +61,67 @@ class HeldCondition(StatefulProcessor):
         pass
 
 
+class HeldRuns(StatefulProcessor):
+    """Condition samples (key, at, active) → (key, at, since, state, samples), corrected by late samples.
+
+    Samples newer than the watermark stay in the state, by time; those it has passed are folded
+    into one boundary (start of the run they end in, last time). A late sample that splits,
+    joins or extends a run so changes the states behind it, and these are sent again: the last
+    version of each time is the same for any cut into micro-batches. Of samples with equal times
+    the inactive ones come last, so that they reset.
+    """
+
+    def __init__(self, hold_seconds: int, step_seconds: int):
+        self.hold = hold_seconds * 1_000_000
+        self.step = step_seconds * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.boundary = handle.getValueState("boundary", "since bigint, last bigint")
+        self.samples = handle.getMapState("samples", "at bigint", "active bigint, inactive bigint")
+
+    def follow(self, since: int | None, last: int | None, at: int, active: int, inactive: int) -> tuple[int | None, int | None]:
+        """Start of the run for the active samples of a time, and for what comes after it."""
+        start = None
+        if active:
+            start = at if since is None or at - last > self.step else since
+        return start, None if inactive else start
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        points = pd.concat(list(rows))
+        times = points["at"].astype("datetime64[us]").astype("int64")
+        counts = points["active"].groupby(times).agg(["sum", "count"])
+        for at, active, total in counts.itertuples():
+            known = self.samples.getValue((at,)) if self.samples.containsKey((at,)) else (0, 0)
+            self.samples.updateValue((at,), (known[0] + int(active), known[1] + int(total - active)))
+        self.handle.registerTimer(int(times.max()) // 1000 + 1)
+        since, last = self.boundary.get() if self.boundary.exists() else (None, None)
+        earliest, out = int(times.min()), []
+        for (at,), (active, inactive) in sorted(self.samples.iterator()):
+            start, since = self.follow(since, last, at, active, inactive)
+            last = at
+            if at >= earliest and active:
+                out.append((key[0], pd.Timestamp(at, unit="us"), pd.Timestamp(start, unit="us"), "firing" if at - start >= self.hold else "pending", active))
+        if out:
+            yield pd.DataFrame(out, columns=["alert", "at", "since", "state", "samples"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        since, last = self.boundary.get() if self.boundary.exists() else (None, None)
+        for (at,), (active, inactive) in sorted(self.samples.iterator()):
+            if at >= passed:
+                break
+            _, since = self.follow(since, last, at, active, inactive)
+            last = at
+            self.samples.removeKey((at,))
+        if last is not None:
+            self.boundary.update((since, last))
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
 class Cooldown(StatefulProcessor):
     """Trigger candidates (key, at) → those at least ``cooldown`` after the last one."""
 
@@ -124,6 +185,16 @@ def held_stream(conditions: DataFrame, hold_seconds: int, step_seconds: int) ->
     )
 
 
+HELD_SCHEMA = "alert string, at timestamp, since timestamp, state string, samples bigint"
+
+
+def held_runs(conditions: DataFrame, hold_seconds: int, step_seconds: int, watermark: str = "1 hour") -> DataFrame:
+    """Pending/firing rule with late data, keyed by ``alert``: an update-mode stream for ``writers.upsert_log``."""
+    return conditions.withWatermark("at", watermark).groupBy("alert").transformWithStateInPandas(
+        statefulProcessor=HeldRuns(hold_seconds, step_seconds), outputStructType=HELD_SCHEMA, outputMode="Update", timeMode="EventTime",
+    )
+
+
 def cooldown_stream(candidates: DataFrame, cooldown_seconds: int) -> DataFrame:
     """Streaming form of the cooldown, keyed by ``key``."""
     return candidates.groupBy("key").transformWithStateInPandas(
