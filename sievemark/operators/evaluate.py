@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors
+from .ranking import on_class
 from .small import one_value
 
 
@@ -73,31 +74,46 @@ def class_report(pairs: DataFrame) -> DataFrame:
     return rows.unionByName(overall).unionByName(macro).unionByName(weighted)
 
 
+# Divisor of each normalisation of a confusion matrix.
+NORMALISATIONS = {"true": "_row", "pred": "_column", "all": "_all", "none": None}
+
+
+def confusion_grid(pairs: DataFrame) -> DataFrame:
+    """(y_true, y_pred, n, _row, _column, _all) over the full label × label grid, from one count of the pairs.
+
+    Pairs with a NULL label are not part of the matrix. The grid has a row for each pair of
+    labels; totals are windows over it, so that the pairs are not counted again.
+    """
+    confusion = confusion_counts(pairs.filter(F.col("y_true").isNotNull() & F.col("y_pred").isNotNull()))
+    labels = confusion.select(F.explode(F.array("y_true", "y_pred")).alias("label")).distinct()
+    every = labels.agg(F.sort_array(F.collect_list("label")).alias("labels")).scalar()
+    grid = labels.select(F.col("label").alias("y_true"), F.explode(every).alias("y_pred"))
+    full = grid.join(confusion, ["y_true", "y_pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rows = full.withColumn("_row", F.sum("n").over(Window.partitionBy("y_true")))
+    whole = rows.groupBy("y_true").agg(F.max("_row").alias("_row")).agg(F.sum("_row").alias("_all"))
+    return rows.withColumn("_column", F.sum("n").over(Window.partitionBy("y_pred"))).withColumn("_all", one_value(whole, "_all"))
+
+
+def normalised(grid: DataFrame, kinds: list[str]) -> DataFrame:
+    """(kind, y_true, y_pred, n, value) for each normalisation; an empty row or column gives 0."""
+    def value(kind: str) -> Column:
+        by = NORMALISATIONS[kind]
+        return F.col("n").cast("double") if by is None else _ratio(F.col("n"), F.col(by))
+
+    each = F.array(*[F.struct(F.lit(k).alias("kind"), value(k).alias("value")) for k in kinds])
+    return grid.select("y_true", "y_pred", "n", F.explode(each).alias("e")).select("e.kind", "y_true", "y_pred", "n", "e.value")
+
+
 def confusion_matrix(pairs: DataFrame, normalize: str | None = "true") -> DataFrame:
     """(y_true, y_pred, n, value) over the full label × label grid.
 
     ``normalize`` is ``true`` (row), ``pred`` (column), ``all`` or None; an empty row
     or column gives 0. Works on the counts, at most one row per label pair.
     """
-    confusion = confusion_counts(pairs)
-    labels = label_counts(confusion).select("label")
-    every = labels.agg(F.sort_array(F.collect_set("label")).alias("labels")).scalar()
-    grid = labels.select(F.col("label").alias("y_true"), F.explode(every).alias("y_pred"))
-    full = grid.join(confusion, ["y_true", "y_pred"], "left").select(
-        "y_true", "y_pred", F.coalesce("n", F.lit(0)).alias("n")
-    )
-    if normalize is None:
-        return full.withColumn("value", F.col("n").cast("double"))
-    if normalize == "all":
-        total = one_value(confusion.agg(F.sum("n").alias("t")), "t")
-        return full.withColumn("value", _ratio(F.col("n"), total))
-    if normalize not in ("true", "pred"):
+    kind = "none" if normalize is None else normalize
+    if kind not in NORMALISATIONS:
         raise ValueError(f"unknown normalisation {normalize!r}")
-    side = f"y_{normalize}"
-    totals = confusion.groupBy(side).agg(F.sum("n").alias("_t"))
-    return full.join(totals, side, "left").select(
-        "y_true", "y_pred", "n", _ratio(F.col("n"), F.coalesce("_t", F.lit(0))).alias("value")
-    )
+    return normalised(confusion_grid(pairs), [kind]).drop("kind")
 
 
 def class_errors(pairs: DataFrame, label) -> DataFrame:
@@ -107,8 +123,6 @@ def class_errors(pairs: DataFrame, label) -> DataFrame:
 
 def label_index(labels: DataFrame, column: str) -> DataFrame:
     """Distinct sorted labels → dense 0-based index; one row per class."""
-    from pyspark.sql import Window
-
     return labels.select(column).distinct().filter(F.col(column).isNotNull()).withColumn(
         "label_idx", F.row_number().over(Window.partitionBy().orderBy(column)) - 1
     )
@@ -122,17 +136,17 @@ def check_class_count(index: DataFrame, expected: int) -> DataFrame:
 
 
 def with_label_index(rows: DataFrame, index: DataFrame, column: str) -> DataFrame:
-    """Map the label of every row through a shared index."""
-    return rows.join(index, column)
+    """Map the label of every row through a shared index; a row without a label, or with an unknown one, keeps NULL."""
+    return on_class(rows, index, column, how="left")
 
 
 def remap_labels(pairs: DataFrame, mapping: DataFrame, source: str, target: str) -> DataFrame:
-    """Replace true and predicted label by the group the mapping gives."""
+    """Replace true and predicted label by the group the mapping gives; a label it does not know becomes NULL."""
     small = mapping.select(source, target)
     true_side = small.select(F.col(source).alias("y_true"), F.col(target).alias("_t"))
     pred_side = small.select(F.col(source).alias("y_pred"), F.col(target).alias("_p"))
     return (
-        pairs.join(true_side, "y_true").join(pred_side, "y_pred")
+        on_class(on_class(pairs, true_side, "y_true", how="left"), pred_side, "y_pred", how="left")
         .drop("y_true", "y_pred").withColumnsRenamed({"_t": "y_true", "_p": "y_pred"})
     )
 

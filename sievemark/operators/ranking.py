@@ -17,6 +17,15 @@ from pyspark.sql import functions as F
 from ..functions.hashing import BUCKET_DIGITS, md5_bucket
 
 
+def on_class(df: DataFrame, table: DataFrame, *names: str, how: str = "inner") -> DataFrame:
+    """Join with a class-level table on the named columns, which both sides have; NULL is a class like any other."""
+    renamed = table.withColumnsRenamed({c: f"_on_{c}" for c in names})
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    return df.join(renamed, same, how).drop(*[f"_on_{c}" for c in names])
+
+
 def bucket_offsets(hashed: DataFrame, label: str) -> DataFrame:
     """(class, bucket) → rows in the bucket and rows of the class before it."""
     before = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -35,8 +44,7 @@ def class_rank(
     inside = Window.partitionBy(label, "_bucket").orderBy("_h", tie)
     offsets = bucket_offsets(hashed, label).drop("_n")
     return (
-        hashed.withColumn("_in", F.row_number().over(inside))
-        .join(offsets, [label, "_bucket"])
+        on_class(hashed.withColumn("_in", F.row_number().over(inside)), offsets, label, "_bucket")
         .withColumn(name, F.col("_in") + F.col("_before"))
         .drop("_h", "_bucket", "_in", "_before")
     )
@@ -60,16 +68,14 @@ def quota_cutoffs(
         F.explode(F.array(*[F.struct(F.lit(n).alias("_cut"), F.col(n).cast("bigint").alias("_rank")) for n in names])).alias("_c"),
     ).select(label, "_c.*")
     spots = (
-        bucket_offsets(hashed, label)
-        .join(wanted, label)
+        on_class(bucket_offsets(hashed, label), wanted, label)
         .filter((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
         .select(label, "_bucket", "_cut", (F.col("_rank") - F.col("_before")).alias("_want"))
     )
     inside = Window.partitionBy(label, "_bucket").orderBy("_h", "_tie")
+    near = on_class(hashed, spots.select(label, "_bucket").distinct(), label, "_bucket", how="left_semi")
     edges = (
-        hashed.join(spots.select(label, "_bucket").distinct(), [label, "_bucket"], "left_semi")
-        .withColumn("_in", F.row_number().over(inside))
-        .join(spots, [label, "_bucket"])
+        on_class(near.withColumn("_in", F.row_number().over(inside)), spots, label, "_bucket")
         .filter(F.col("_in") == F.col("_want"))
         .groupBy(label)
         .pivot("_cut", names)
@@ -89,7 +95,7 @@ def first_k_per_class(
     """The first ``take`` rows of each class in md5 order; ``takes`` is (class, take)."""
     cuts = quota_cutoffs(df, label, digest, tie, takes.select(label, "take"), digits)
     return (
-        df.join(cuts.withColumnRenamed("take", "_take"), label, "inner")
+        on_class(df, cuts.withColumnRenamed("take", "_take"), label)
         .filter(within(F.col("_take"), digest, F.col(tie)))
         .select(*df.columns)
     )

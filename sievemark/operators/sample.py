@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash60, seeded_md5
-from .ranking import class_rank, first_k_per_class, top_n_per_class
+from .ranking import class_rank, first_k_per_class, on_class, top_n_per_class
 
 SEED = 42
 DRAWS_PER_COPY = 10_000
@@ -36,11 +36,10 @@ def round_robin(df: DataFrame, label: str, key: str, n: int, seed: int = SEED) -
 
 def stratified_takes(sizes: DataFrame, total: int) -> DataFrame:
     """(class, n, take): proportional, at least half of an even share, at most the class."""
-    pinned = sizes
     whole = Window.partitionBy()
     floor_take = F.greatest(F.lit(1), F.floor(F.floor(F.lit(total) / F.count(F.lit(1)).over(whole)) / 2))
     proportional = F.bround(F.col("n") / F.sum("n").over(whole) * total)
-    return pinned.withColumn("take", F.least(F.greatest(floor_take, proportional), F.col("n")).cast("bigint"))
+    return sizes.withColumn("take", F.least(F.greatest(floor_take, proportional), F.col("n")).cast("bigint"))
 
 
 def stratified_sample(df: DataFrame, label: str, key: str, total: int, seed: int = SEED) -> DataFrame:
@@ -61,17 +60,16 @@ def rebalance(
     sizes = class_sizes(df, label)
     digest = seeded_md5(seed, F.col(key))
     out = [*df.columns, "draw"]
-    keep = df.join(sizes.filter(F.col("n").between(low, high)).select(label), label, "left_semi")
+    keep = on_class(df, sizes.filter(F.col("n").between(low, high)).select(label), label, how="left_semi")
     down = first_k_per_class(df, label, digest, key, sizes.filter(F.col("n") > high).select(label, F.lit(high).alias("take")))
     small = sizes.filter(F.col("n") < low)
-    ranked = df.join(small.select(label), label, "left_semi").withColumn(
+    ranked = on_class(df, small.select(label), label, how="left_semi").withColumn(
         "_rank", F.row_number().over(Window.partitionBy(label).orderBy(digest, key))
     )
     draws = small.select(label, "n", F.explode(F.sequence(F.lit(1), F.lit(low))).alias("draw"))
     pick = F.pmod(hash60(F.concat_ws(":", F.lit(str(seed)), F.col(label), F.col("draw").cast("string"))), F.col("n"))
-    up = draws.select(label, F.col("draw").cast("bigint").alias("draw"), (pick + 1).alias("_rank")).join(
-        ranked, [label, "_rank"]
-    )
+    drawn = draws.select(label, F.col("draw").cast("bigint").alias("draw"), (pick + 1).alias("_rank"))
+    up = on_class(ranked, drawn, label, "_rank")
     none = F.lit(0).cast("bigint").alias("draw")
     return keep.select(*df.columns, none).unionByName(down.select(*df.columns, none)).unionByName(up.select(*out))
 
@@ -108,9 +106,9 @@ def suffix_copies(df: DataFrame, key: str, order: str, extension: str = ".jpg",
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Row weight 1 / class count."""
+    """Row weight 1 / class count; NULL is a class."""
     sizes = class_sizes(df, label)
-    return df.join(sizes, label).withColumn("weight", F.lit(1.0) / F.col("n")).drop("n")
+    return on_class(df, sizes, label).withColumn("weight", F.lit(1.0) / F.col("n")).drop("n")
 
 
 def weighted_sample(df: DataFrame, label: str, key: str, draws: int | None = None, seed: int = SEED) -> DataFrame:
@@ -146,8 +144,6 @@ def weighted_sample(df: DataFrame, label: str, key: str, draws: int | None = Non
             F.pmod(F.col("id"), F.col("_salts")).alias("_salt"),
         )
     )
-    rows = class_rank(df, label, seeded_md5(seed, F.col(key)), key, name="_rank").join(
-        classes.select(label, "_salts"), label
-    )
+    rows = on_class(class_rank(df, label, seeded_md5(seed, F.col(key)), key, name="_rank"), classes.select(label, "_salts"), label)
     rows = rows.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1))).drop("_salts")
-    return picked.join(rows, [label, "_rank", "_salt"]).select(*df.columns, "draw")
+    return on_class(rows, picked, label, "_rank", "_salt").select(*df.columns, "draw")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_md5
-from .ranking import quota_cutoffs, within
+from .ranking import on_class, quota_cutoffs, within
 
 # Default ratios, seed and split order.
 TRAIN_RATIO = 0.70
@@ -78,7 +78,7 @@ def assign_splits(df: DataFrame, label: str, digest: Column, tie: str, quotas: D
         .when(within(F.col("cut_val"), digest, key), "val")
         .otherwise("test")
     )
-    return df.join(edges, label, "left").withColumn("split", split).drop("cut_train", "cut_val")
+    return on_class(df, edges, label, how="left").withColumn("split", split).drop("cut_train", "cut_val")
 
 
 def stratified_split(
@@ -89,7 +89,7 @@ def stratified_split(
     train_ratio: float = TRAIN_RATIO,
     val_ratio: float = VAL_RATIO,
 ) -> DataFrame:
-    """Stratified split with exact per-class quotas; ``key`` is unique per row."""
+    """Stratified split with exact per-class quotas; ``key`` is unique per row. NULL is a class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     quotas = split_quotas(counts, label, train_ratio, val_ratio)
     return assign_splits(df, label, seeded_md5(seed, F.col(key)), key, quotas)
@@ -103,7 +103,7 @@ def group_split(
     train_ratio: float = TRAIN_RATIO,
     val_ratio: float = VAL_RATIO,
 ) -> DataFrame:
-    """Split whole groups, class by class; a class shuffles with seed + class index.
+    """Split whole groups, class by class; a class shuffles with seed + class index. NULL is a class, the first.
 
     The split of a row follows from its group's md5, so rows are not joined with groups.
     """
@@ -115,7 +115,7 @@ def group_split(
     quotas = group_quotas(indexed, label, train_ratio, val_ratio)
     idx = indexed.select(label, "_class_idx")
     digest = F.md5(F.concat_ws(":", (F.col("_class_idx") + seed).cast("string"), F.col(group)))
-    return assign_splits(df.join(idx, label), label, digest, group, quotas, groups.join(idx, label)).drop("_class_idx")
+    return assign_splits(on_class(df, idx, label), label, digest, group, quotas, on_class(groups, idx, label)).drop("_class_idx")
 
 
 def split_stats(split_rows: DataFrame, label: str) -> DataFrame:

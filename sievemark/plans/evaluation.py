@@ -44,11 +44,7 @@ SELECT k.kind, a.l AS y_true, b.l AS y_pred, (SELECT count(*) FROM pairs p WHERE
 FROM (SELECT DISTINCT y_true AS l FROM pairs UNION SELECT y_pred FROM pairs) a, (SELECT DISTINCT y_true AS l FROM pairs UNION SELECT y_pred FROM pairs) b,
 (SELECT unnest(['true', 'pred', 'all', 'none']) AS kind) k)"""))
 def _(t: Tables):
-    frames = []
-    for kind in ("true", "pred", "all", "none"):
-        matrix = evaluate.confusion_matrix(t.pairs, None if kind == "none" else kind)
-        frames.append(rounded(matrix).select(F.lit(kind).alias("kind"), "*"))
-    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+    return rounded(evaluate.normalised(evaluate.confusion_grid(t.pairs), list(evaluate.NORMALISATIONS)))
 
 
 def label_pairs(t: Tables):

@@ -212,7 +212,7 @@ def _(t: Tables):
 def _(t: Tables):
     path, checkpoint = workspace(t.spark, "stored-once"), workspace(t.spark, "stored-once-checkpoint")
     writers.store_once(event_stream(t).select("image_hash"), "image_hash", path, checkpoint).awaitTermination()
-    return t.spark.read.schema("image_hash string").parquet(path)
+    return t.spark.read.schema("image_hash string").parquet(path).select("image_hash")
 
 
 @query("st_rate_stream", sql("log", """SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, predicted_class, count(*) AS n FROM (
