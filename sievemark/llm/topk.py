@@ -6,7 +6,9 @@ radius, centres of one level are further apart than that of their children, and
 its own first child. Pairs of nodes are visited together; for nodes with centres q, c and
 radii r, s no product exceeds ``q.c + r|c| + s|q| + r s``, and a pair is left when that is
 below the worst k-th score of the queries under the query node. Block results are merged
-by Spark. Scores are exact integers; ties go to the smaller id.
+by Spark. Ranks follow exact integer products of any size; ties go to the smaller id. Products
+that doubles hold exactly are taken in doubles, in blocks with larger components in Python
+integers. Components beyond a long take its nearest end, and so does a returned score.
 
 Vectors that are NULL or hold NULL or non-finite components, and rows without id, take no
 part. Vectors of different length are not compared. Rows that repeat id and vector count
@@ -77,27 +79,44 @@ class CoverTree:
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(queries, k) scores and rows of ``points``, best first; rows are -1 where there are fewer. ``ids`` must ascend."""
+    """(queries, k) scores and rows of ``points``, best first; rows are -1 where there are fewer. ``ids`` must ascend.
+
+    Scores are Python integers where products may leave the exact range of doubles.
+    """
     q, c = CoverTree(queries), CoverTree(points)
-    size = np.int64(len(points))
-    best = np.full((len(queries), k), np.iinfo(np.int64).min)  # score * size - row: ties prefer the smaller row
+    size = max(1, len(points))
+    most = 0
+    if len(queries) and len(points):
+        most = max(1, queries.shape[1]) * max(-int(queries.min()), int(queries.max())) * max(-int(points.min()), int(points.max()))
+    exact = most < 1 << 53 and (most + 1) * size < 1 << 62
+    none = np.iinfo(np.int64).min if exact else -(1 << 200)
+    wide_q, wide_c = (queries, points) if exact else (queries.astype(object), points.astype(object))
+    # score * size - row: ties prefer the smaller row
+    best = np.full((len(queries), k), none, np.int64 if exact else object)
 
     def scan(rows: np.ndarray, columns: np.ndarray) -> None:
-        keys = np.rint(q.points[rows] @ c.points[columns].T).astype(np.int64) * size - columns
-        keys[query_ids[rows][:, None] == ids[columns]] = np.iinfo(np.int64).min
+        if exact:
+            products = np.rint(q.points[rows] @ c.points[columns].T).astype(np.int64)
+        else:
+            products = wide_q[rows] @ wide_c[columns].T
+        keys = products * size - columns
+        keys[query_ids[rows][:, None] == ids[columns]] = none
         both = np.concatenate([best[rows], keys], axis=1)
-        best[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+        best[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:] if exact else np.sort(both, axis=1)[:, -k:]
 
-    def worst(rows: np.ndarray) -> int:
-        low = best[rows].min()
-        return -(2**62) if low == np.iinfo(np.int64).min else -((-low) // size)
+    def worst(rows: np.ndarray) -> float:
+        low = int(best[rows].min())
+        return -float("inf") if low == none else float(-((-low) // size))
 
     def visit(node: int, others: np.ndarray) -> None:
         rows, centre, radius = q.below[node], q.centre[node], q.radius[node]
 
         def bounds(nodes: np.ndarray) -> np.ndarray:
             at, s = c.centre[nodes], c.radius[nodes]
-            return c.points[at] @ q.points[centre] + radius * c.norms[at] + s * q.norms[centre] + radius * s + 1e-6
+            reach = radius * c.norms[at] + s * q.norms[centre] + radius * s
+            # what rounding may have taken from the product and from the k-th score
+            slack = 1e-6 + 1e-9 * (reach + c.norms[at] * q.norms[centre])
+            return c.points[at] @ q.points[centre] + reach + slack
 
         final = q.children[node] is None
         while len(others):
@@ -128,10 +147,20 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
 
     if len(points) and len(queries):
         visit(0, np.array([0]))
-    keys = -np.sort(-best, axis=1)
-    none = keys == np.iinfo(np.int64).min
-    scores = np.where(none, 0, -((-keys) // max(size, 1)))
-    return scores, np.where(none, -1, scores * size - keys)
+    keys = np.sort(best, axis=1)[:, ::-1]
+    missing = keys == none
+    scores = np.where(missing, 0, -((-keys) // size))
+    return scores, np.where(missing, -1, scores * size - keys).astype(np.int64)
+
+
+LIMB = 62
+
+
+def limbs(scores: np.ndarray) -> dict[str, np.ndarray]:
+    """Integers of any size as three longs that sort like them."""
+    mask = (1 << LIMB) - 1
+    parts = {"high": [int(s) >> 2 * LIMB for s in scores], "mid": [int(s) >> LIMB & mask for s in scores], "low": [int(s) & mask for s in scores]}
+    return {name: np.array(values, np.int64) for name, values in parts.items()}
 
 
 def integer_vector(vector: Column) -> Column:
@@ -153,14 +182,20 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = K) -> DataFrame:
 
     def block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({"query_id": [], "vec_id": [], "high": [], "mid": [], "low": []}).astype("int64")
         b = b.sort_values("vec_id", kind="stable")
         ids, asked_ids = b["vec_id"].to_numpy(), a["vec_id"].to_numpy()
         scores, found = search(np.stack(a["v"].to_numpy()), asked_ids, np.stack(b["v"].to_numpy()), ids, k)
         there = found >= 0
-        return pd.DataFrame({"query_id": np.repeat(asked_ids, there.sum(axis=1)), "vec_id": ids[found[there]], "score": scores[there]})
+        return pd.DataFrame({"query_id": np.repeat(asked_ids, there.sum(axis=1)), "vec_id": ids[found[there]], **limbs(scores[there])})
 
     keys = ["dim", "cb", "qb"]
-    found = asked.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(block, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = asked.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(block, "query_id long, vec_id long, high long, mid long, low long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("mid"), F.desc("low"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    # high and mid of a long are 0 and 0 or 1, or -1 and the two largest
+    whole = F.when((F.col("high") == 0) & (F.col("mid") <= 1), F.shiftleft("mid", LIMB) + F.col("low")).when(
+        (F.col("high") == -1) & (F.col("mid") >= (1 << LIMB) - 2), F.shiftleft(F.col("mid") - (1 << LIMB), LIMB) + F.col("low")
+    )
+    ends = F.when(F.col("high") >= 0, F.lit((1 << 63) - 1)).otherwise(F.lit(-(1 << 63)))
+    return ranked.select("query_id", "rank", "vec_id", F.coalesce(whole, ends).alias("score"))
