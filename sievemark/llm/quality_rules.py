@@ -24,6 +24,8 @@ from .toxicity import labelled_sample
 
 MAX_ROWS = 20_000
 TREES, DEPTH, BINS, LEAF = 24, 3, 32, 15
+#: Rows drawn for a tree.
+TREE_ROWS = 4000
 L1, STEPS = 0.002, 600
 THRESHOLD = 0.7
 SEED = 23
@@ -60,8 +62,8 @@ class Rule:
         parts = [(x[:, names.index(n)] > b) if above else (x[:, names.index(n)] <= b) for n, above, b in self.terms]
         return np.logical_and.reduce(parts)
 
-    def column(self) -> Column:
-        parts = [F.col(f"_stats.{n}") > F.lit(b) if above else F.col(f"_stats.{n}") <= F.lit(b) for n, above, b in self.terms]
+    def column(self, stats: str) -> Column:
+        parts = [F.col(f"{stats}.{n}") > F.lit(b) if above else F.col(f"{stats}.{n}") <= F.lit(b) for n, above, b in self.terms]
         return reduce(lambda a, b: a & b, parts)
 
 
@@ -72,9 +74,9 @@ class Ensemble:
     bias: float = 0.0
     fitted: bool = False
 
-    def column(self) -> Column:
-        """Score in (0, 1) as one expression over the struct column ``_stats``."""
-        total = reduce(lambda a, b: a + b, [F.when(r.column(), F.lit(w)).otherwise(F.lit(0.0)) for r, w in zip(self.rules, self.weights)], F.lit(self.bias))
+    def column(self, stats: str = "_stats") -> Column:
+        """Score in (0, 1) as one expression over a struct column of statistics."""
+        total = reduce(lambda a, b: a + b, [F.when(r.column(stats), F.lit(w)).otherwise(F.lit(0.0)) for r, w in zip(self.rules, self.weights)], F.lit(self.bias))
         return 1.0 / (1.0 + F.exp(-total))
 
 
@@ -127,10 +129,14 @@ def lasso(a: np.ndarray, y: np.ndarray, l1: float, steps: int) -> tuple[np.ndarr
 
 
 def learn(x: np.ndarray, y: np.ndarray, names: list[str], *, trees: int = TREES, depth: int = DEPTH, bins: int = BINS,
-          leaf: int = LEAF, l1: float = L1, steps: int = STEPS, seed: int = SEED) -> Ensemble:
-    """Rules of all trees, each kept once for the rows it covers, weighed by the lasso."""
+          leaf: int = LEAF, l1: float = L1, steps: int = STEPS, seed: int = SEED, tree_rows: int = TREE_ROWS) -> Ensemble:
+    """Rules of all trees, each kept once for the rows it covers, weighed by the lasso.
+
+    A tree grows on ``tree_rows`` rows drawn with replacement, or as many as there are; the lasso
+    sees all rows.
+    """
     rng = np.random.default_rng(seed)
-    size = min(len(y), 4000)
+    size = min(len(y), tree_rows)
     rules: dict[bytes, tuple[Rule, np.ndarray]] = {}
     for _ in range(trees):
         rows = rng.choice(len(y), size)
@@ -162,5 +168,8 @@ def predict(docs: DataFrame, ensemble: Ensemble, threshold: float = THRESHOLD) -
     if not ensemble.fitted:
         return docs.withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
     stats = statistics(F.coalesce("text", F.lit("")))
-    scored = docs.withColumn("_stats", F.struct(*[c.alias(n) for n, c in stats.items()])).withColumn("score", ensemble.column()).drop("_stats")
+    own = "_stats"
+    while own in docs.columns:  # a column of the user's stays as it is
+        own += "_"
+    scored = docs.withColumn(own, F.struct(*[c.alias(n) for n, c in stats.items()])).withColumn("score", ensemble.column(own)).drop(own)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

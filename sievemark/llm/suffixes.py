@@ -354,6 +354,8 @@ def repeated_starts(texts: DataFrame, length: int, group_bytes: int = GROUP_BYTE
     groups = groups.filter((F.col("rows") > 1) | (F.col("least_at") < 0)).select(
         "key", ((F.col("one") != F.col("other")) | (F.col("least_at") < 0)).alias("open")
     )
+    # written, so that the join shuffles both sides itself and can split the rows of a frequent key
+    groups = written(groups, "suffix-groups")
     shared = written(rows.join(groups, "key"), "suffix-shared")
     run = ["h", "size", "first", "last"]
     # Every segment of such a group is the same string, and there are several.
@@ -367,7 +369,7 @@ def repeated_starts(texts: DataFrame, length: int, group_bytes: int = GROUP_BYTE
     several = strings.filter("n > 1").select("key", "seg")
     whole = single.join(several, ["key", "seg"], "left_semi").select(*run)
     bounds = strings.groupBy("key").agg(F.sum(F.col("last") - F.col("first") + length).alias("bytes"), F.min("n").alias("least"))
-    wanted = strings.join(bounds.filter("least = 1"), "key").select(
+    wanted = strings.join(written(bounds.filter("least = 1"), "suffix-bounds"), "key").select(
         "h", "size", F.struct("key", "seg", (F.col("bytes") > group_bytes).alias("large"), "n", "first", "last", "at").alias("w")
     )
     wanted = wanted.groupBy("h", "size").agg(F.collect_list("w").alias("wanted"))

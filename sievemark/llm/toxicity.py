@@ -112,12 +112,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train_on: Co
     """doc_id, y and ``columns`` of about ``max_rows`` labelled documents, by a hash of the id.
 
     The chosen labels are few by construction, so they travel to the texts, not the other way round.
+    Of rows that repeat an id the one with the least text hash counts, so that rows are bounded as ids are.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (train_on if train_on is not None else F.lit(True)))
     known = known.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     total = known.count()
     chosen = known.filter(unit_hash(seed, F.col("doc_id")) < max_rows / max(total, 1))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", *columns)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    single = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return single.select("doc_id", "y", *columns)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", train_on: Column | None = None, max_rows: int = MAX_ROWS, seed: int = SEED) -> Weights:
