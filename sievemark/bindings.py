@@ -83,6 +83,16 @@ class Tables:
         """Current rows of high latency: the case in which the confidence drifts."""
         return self.current_log.filter(F.col("latency_ms") >= 30)
 
+    @cached_property
+    def tagged_log(self) -> DataFrame:
+        """The whole log, told apart at the split time."""
+        return self.log.withColumn("is_current", F.col("ts") >= F.lit(SPLIT_TIME).cast("timestamp"))
+
+    @cached_property
+    def tagged_shifted_log(self) -> DataFrame:
+        """Reference rows, and the current rows of ``shifted_log``."""
+        return self.tagged_log.filter(~F.col("is_current") | (F.col("latency_ms") >= 30))
+
     @property
     def is_error(self) -> Column:
         return F.col("predicted_class") == "error"

@@ -43,9 +43,10 @@ def keep_first(rows: DataFrame, key: str = "item", order: str = "ord") -> DataFr
 def conflicting_items(observations: DataFrame, key: str = "item", label: str = "species") -> DataFrame:
     """Items carrying more than one label; NULL labels do not count.
 
-    Two extremes decide it, so no distinct set is built per item.
+    The extremes of the labels' 64-bit hashes decide it: no distinct set per item, numeric buffers.
     """
-    spread = observations.groupBy(key).agg(F.min(label).alias("_lo"), F.max(label).alias("_hi"))
+    hashed = F.when(F.col(label).isNotNull(), F.xxhash64(label))
+    spread = observations.groupBy(key).agg(F.min(hashed).alias("_lo"), F.max(hashed).alias("_hi"))
     return spread.filter(F.col("_lo") < F.col("_hi")).select(key)
 
 
@@ -82,32 +83,35 @@ def item_states(
 
     ``n_all``, ``n_member``, ``n_pass`` count rows; ``ord``/``species`` are those of
     the first passing row; ``conflict`` and ``present`` are flags. An item that
-    holds a large part of the table is combined before the shuffle.
+    holds a large part of the table is combined before the shuffle. Labels go through the
+    aggregation as 64-bit hashes, so that with a numeric ``ord`` and ``file_key`` its buffers are
+    numbers and it needs no sort; the name comes back from the table of labels.
     """
     wanted = reference.select("species").distinct().withColumn("_member", F.lit(True))
     member = F.coalesce(F.col("_member"), F.lit(False))
     passing = member & F.coalesce(nan_to_null(F.col("confidence").cast("double")) >= minimum, F.lit(False))
     flagged = observations.join(wanted, "species", "left").select(
-        "item", "species", "ord", F.col(file_key).alias("_file"), member.alias("_m"), passing.alias("_p")
+        "item", F.when(F.col("species").isNotNull(), F.xxhash64("species")).alias("_label"), "ord",
+        F.col(file_key).alias("_file"), member.alias("_m"), passing.alias("_p")
     )
     kept = F.when(F.col("_p"), F.col("ord"))
     items = flagged.groupBy("item").agg(
         F.count(F.lit(1)).alias("n_all"),
         F.count_if("_m").alias("n_member"),
         F.count_if("_p").alias("n_pass"),
-        F.min_by(F.struct("ord", "species", "_file"), kept).alias("_first"),
-        (F.min("species") < F.max("species")).alias("conflict"),
+        F.min(kept).alias("ord"), F.min_by("_label", kept).alias("_label"), F.min_by("_file", kept).alias("_file"),
+        (F.min("_label") < F.max("_label")).alias("conflict"),
     )
+    names = observations.select("species").distinct().select(F.xxhash64("species").alias("_label"), "species")
     present = files.select(F.col(file_key).alias("_file")).distinct().withColumn("_present", F.lit(True))
     return (
         items.select(
-            "item", "n_all", "n_member", "n_pass",
-            F.coalesce("conflict", F.lit(False)).alias("conflict"),
-            "_first.ord", "_first.species", "_first._file",
+            "item", "n_all", "n_member", "n_pass", F.coalesce("conflict", F.lit(False)).alias("conflict"), "ord", "_label", "_file"
         )
+        .join(names, "_label", "left")
         .join(present, "_file", "left")
         .withColumn("present", F.coalesce("_present", F.lit(False)))
-        .drop("_file", "_present")
+        .drop("_file", "_label", "_present")
     )
 
 

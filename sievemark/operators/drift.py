@@ -25,14 +25,19 @@ PSI_FLOOR = 1e-4
 KS_TERMS = 100
 
 
-def sides(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """Union of both logs with a boolean ``is_current``."""
+def sides(reference: DataFrame, current: DataFrame | None, columns: list[str]) -> DataFrame:
+    """Union of both logs with a boolean ``is_current``.
+
+    Without ``current`` the first log is both: it has the column already, and is read once.
+    """
+    if current is None:
+        return reference.select(*columns, "is_current")
     return reference.select(*columns, F.lit(False).alias("is_current")).unionByName(
         current.select(*columns, F.lit(True).alias("is_current"))
     )
 
 
-def index(reference: DataFrame, current: DataFrame, *columns: str) -> DataFrame:
+def index(reference: DataFrame, current: DataFrame | None, *columns: str) -> DataFrame:
     """Distinct values of the columns with their rows on either side: ``r`` and ``c``."""
     return sides(reference, current, list(columns)).groupBy(*columns).agg(
         F.count_if(~F.col("is_current")).alias("r"), F.count_if("is_current").alias("c")
@@ -63,7 +68,7 @@ def chi_square_of(classes: DataFrame) -> DataFrame:
     return stat.withColumn("p_value", chi_square_tail(F.col("statistic"), F.col("df")))
 
 
-def chi_square(reference: DataFrame, current: DataFrame, label: str = "predicted_class") -> DataFrame:
+def chi_square(reference: DataFrame, current: DataFrame | None = None, label: str = "predicted_class") -> DataFrame:
     """Chi-square of the class distribution: statistic, degrees of freedom, p-value."""
     return chi_square_of(reduced(index(reference, current, label), label))
 
@@ -93,7 +98,7 @@ def ks_of(values: DataFrame) -> DataFrame:
     return stat.select("statistic", ks_p_value(F.col("statistic"), F.col("n"), F.col("m")).alias("p_value"))
 
 
-def ks(reference: DataFrame, current: DataFrame, column: str = "confidence") -> DataFrame:
+def ks(reference: DataFrame, current: DataFrame | None = None, column: str = "confidence") -> DataFrame:
     """Two-sample Kolmogorov-Smirnov: largest gap of the empirical distributions, p-value."""
     return ks_of(reduced(index(reference, current, column), column, numeric=True))
 
@@ -115,7 +120,7 @@ def wasserstein_of(values: DataFrame) -> DataFrame:
     return distance.withColumn("_m", one_row(moments_of(values))).selectExpr("distance", "distance / nullif(_m.rs, 0.0D) AS normed")
 
 
-def wasserstein(reference: DataFrame, current: DataFrame, column: str = "confidence") -> DataFrame:
+def wasserstein(reference: DataFrame, current: DataFrame | None = None, column: str = "confidence") -> DataFrame:
     """1-D Wasserstein distance, and the same divided by the reference standard deviation."""
     return wasserstein_of(reduced(index(reference, current, column), column, numeric=True))
 
@@ -129,7 +134,7 @@ def jensen_shannon_of(classes: DataFrame) -> DataFrame:
     return total.selectExpr("divergence", "sqrt(divergence) AS distance")
 
 
-def jensen_shannon(reference: DataFrame, current: DataFrame, label: str = "predicted_class") -> DataFrame:
+def jensen_shannon(reference: DataFrame, current: DataFrame | None = None, label: str = "predicted_class") -> DataFrame:
     """Jensen-Shannon divergence (base 2, 0 to 1) and its root, the distance."""
     return jensen_shannon_of(reduced(index(reference, current, label), label))
 
@@ -145,7 +150,7 @@ def psi_of(values: DataFrame, edges: list[float] = CONFIDENCE_EDGES) -> DataFram
 
 
 def psi(
-    reference: DataFrame, current: DataFrame, column: str = "confidence", edges: list[float] = CONFIDENCE_EDGES
+    reference: DataFrame, current: DataFrame | None = None, column: str = "confidence", edges: list[float] = CONFIDENCE_EDGES
 ) -> DataFrame:
     """Population stability index over fixed bins; an empty bin counts as ``PSI_FLOOR``."""
     return psi_of(reduced(index(reference, current, column), column, numeric=True), edges)
@@ -164,7 +169,7 @@ def summary_of(counts: DataFrame) -> DataFrame:
     )
 
 
-def summary(reference: DataFrame, current: DataFrame) -> DataFrame:
+def summary(reference: DataFrame, current: DataFrame | None = None) -> DataFrame:
     """Sizes, number of named classes, mean and sample std of the confidence, both sides, one row."""
     return summary_of(index(reference, current, "predicted_class", "confidence"))
 
@@ -257,7 +262,7 @@ def column_drift(reference: DataFrame, current: DataFrame, column: str, method:
 
 def drift_job(
     reference: DataFrame,
-    current: DataFrame,
+    current: DataFrame | None = None,
     categorical: str = "chi_square",
     numeric: str = "ks",
     require_rows: bool = False,
@@ -267,7 +272,7 @@ def drift_job(
     ``require_rows`` asks at once whether the window is empty and raises, as a scheduled job
     should; otherwise nothing runs here and the verdict is ``no_data``.
     """
-    if require_rows and current.isEmpty():
+    if require_rows and (reference.filter("is_current") if current is None else current).isEmpty():
         raise ValueError("no predictions in the window")
     counts = index(reference, current, "predicted_class", "confidence")
     cat = one_row(drift_of(reduced(counts, "predicted_class"), "predicted_class", categorical))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors
 from . import distribution
 from .curate import nan_to_null
+from .ranking import top_n_per_class
 from .small import one_row
 
 # Fixed values of the score filter: threshold, reason names, sweep, panel size.
@@ -164,16 +165,18 @@ def equal_width_histogram(scores: DataFrame, bins: int = HISTOGRAM_BINS) -> Data
     )
 
 
-def panels(scores: DataFrame, threshold: float = SCORE_THRESHOLD, size: int = PANEL_SIZE) -> DataFrame:
-    """Highest, lowest and nearest-to-threshold rows, ties by item."""
-    valid = readable(scores).select("item", "species", "score_final")
-    distance = F.abs(F.col("score_final") - threshold)
+def quantile_marks(scores: DataFrame) -> DataFrame:
+    """(mark, value): the quantiles that are marked in a histogram of the scores, 3 decimals."""
+    row = distribution.quantiles(scores, F.col("score_final"), QUANTILES)
+    marks = F.array(*[F.struct(F.lit(n).alias("mark"), F.round(n, 3).alias("value")) for n in QUANTILES])
+    return row.select(F.explode(marks).alias("m")).select("m.*")
 
-    def panel(name: str, *order) -> DataFrame:
-        return valid.orderBy(*order, "item").limit(size).select(F.lit(name).alias("panel"), "*")
 
-    return (
-        panel("top", F.desc("score_final"))
-        .unionByName(panel("bottom", F.asc("score_final")))
-        .unionByName(panel("borderline", distance))
-    )
+def panels(scores: DataFrame, threshold: float = SCORE_THRESHOLD, size: int = PANEL_SIZE) -> DataFrame:
+    """Highest, lowest and nearest-to-threshold rows, ties by item; one pass, each task sends ``size`` rows a panel."""
+    valid = readable(scores).select("item", "species", "score_final")
+    score = F.col("score_final")
+    orders = {"top": -score, "bottom": score, "borderline": F.abs(score - threshold)}
+    each = F.array(*[F.struct(F.lit(n).alias("panel"), o.alias("_order")) for n, o in orders.items()])
+    rows = valid.withColumn("_p", F.explode(each)).select("_p.panel", "item", "species", "score_final", "_p._order")
+    return top_n_per_class(rows, "panel", size, "_order", "item", name="_rank").drop("_order", "_rank")

@@ -156,8 +156,8 @@ def drift_sql(body: str, extra: str = "") -> str:
 
 
 def both_cases(t: Tables, run):
-    plain = run(t.reference_log, t.current_log).select(F.lit("plain").alias("kind"), "*")
-    shifted = run(t.reference_log, t.shifted_log).select(F.lit("shifted").alias("kind"), "*")
+    plain = run(t.tagged_log).select(F.lit("plain").alias("kind"), "*")
+    shifted = run(t.tagged_shifted_log).select(F.lit("shifted").alias("kind"), "*")
     return rounded(plain.unionByName(shifted))
 
 

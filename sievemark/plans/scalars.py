@@ -211,3 +211,23 @@ def _(t: Tables):
         (metrics.used_percent(F.sum("latency_ms"), F.count(F.lit(1)) * 400.0)).alias("memory_used_percent")
     )
     return cpu.join(memory, "day").select("day", F.round("cpu_used_percent", 9).alias("cpu_used_percent"), F.round("memory_used_percent", 9).alias("memory_used_percent"))
+
+
+RATED = ["network_rx", "network_tx", "block_read", "block_write"]
+
+
+@query("st_container_rates", """WITH c AS (SELECT user_id, ts, event_id, unnest(['network_rx', 'network_tx', 'block_read', 'block_write']) AS metric,
+unnest([CAST(event_id % 997 AS DOUBLE), CAST(event_id * 2 % 1009 AS DOUBLE), CAST(event_id * 3 % 1013 AS DOUBLE), CAST(event_id * 5 % 1019 AS DOUBLE)]) AS value FROM events),
+s AS (SELECT *, value - lag(value) OVER (PARTITION BY user_id, metric ORDER BY ts, value) AS step FROM c)
+SELECT strftime(time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '2024-01-01'), '%Y-%m-%d %H:%M:%S') AS start, user_id, metric,
+round(sum(CASE WHEN step IS NULL THEN 0.0 WHEN step < 0 THEN value ELSE step END) / 3600.0::DOUBLE, 6) AS rate FROM s GROUP BY ALL""")
+def _(t: Tables):
+    """Network and block counters of each user, which reset when they fall, as rates by the second and hour."""
+    from ..streaming import metrics
+
+    event = F.col("event_id")
+    values = [event % 997, event * 2 % 1009, event * 3 % 1013, event * 5 % 1019]
+    each = F.array(*[F.struct(F.lit(n).alias("metric"), v.cast("double").alias("value")) for n, v in zip(RATED, values, strict=True)])
+    samples = t.log.select("user_id", "ts", F.explode(each).alias("c")).select("user_id", "ts", "c.*")
+    rates = metrics.counter_rate(samples, ["user_id", "metric"], ["user_id", "metric"], "1 hour", "1 hour")
+    return rates.select(dates.stamp(F.col("start")).alias("start"), "user_id", "metric", F.round("rate", 6).alias("rate"))

@@ -79,6 +79,12 @@ def _(t: Tables):
     return rounded(quality.equal_width_histogram(t.scores))
 
 
+@query("agg_hist_marks", sql("scores", "SELECT unnest(['q05', 'q25', 'q50', 'q75', 'q95']) AS mark, unnest([round(x, 3) FOR x IN quantile_cont(score_final, [0.05, 0.25, 0.5, 0.75, 0.95])]) AS value FROM scores"))
+def _(t: Tables):
+    """Quantile marks of the histogram ``agg_hist_equal``."""
+    return quality.quantile_marks(t.scores)
+
+
 @query("agg_threshold_sweep", sql("scores", """SELECT t AS threshold, count(*) FILTER (score_final >= t) AS passed, round(count(*) FILTER (score_final >= t) * 100.0::DOUBLE / count(score_final), 1) AS percent
 FROM scores, (SELECT unnest([-0.05, 0.0, 0.05, 0.1, 0.15])::DOUBLE AS t) GROUP BY t"""))
 def _(t: Tables):
