@@ -32,6 +32,11 @@ def unit_hash(seed: int, *parts: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
 
 
+def row_unit(seed: int, id: Column, text: Column) -> Column:
+    """:func:`unit_hash` of the id; rows without an id are told apart by their text, so that they do not share a value."""
+    return unit_hash(seed, F.coalesce(id.cast("string"), F.concat(F.lit("text:"), F.xxhash64(text).cast("string"))))
+
+
 def balanced_buckets(rows: int) -> int:
     """About sqrt(rows) buckets of sqrt(rows) rows: neither a bucket nor the bucket table gets large."""
     return max(1, isqrt(max(rows, 0)))

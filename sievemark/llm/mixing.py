@@ -4,8 +4,8 @@ Each document gets an exponential key ``-ln(u) / weight`` (u from its id), so th
 order by key is a weighted sample without replacement at every length. A source whose
 target is above its size is taken whole first; the rest is the start of that order.
 Column functions only. Rows with NULL source form a source of their own, sorted last;
-NULL and empty texts have size 0, take part and count 0. Rows that repeat an id share a
-key and follow each other, by size and text. Columns besides those named are ignored.
+NULL and empty texts have size 0, take part and count 0. Rows that repeat an id share
+u; those of one weight follow each other, by size and text. A NULL id takes u from the text. Columns besides those named are ignored.
 An empty table gives an empty result.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, balanced_buckets, prefix_sum, unit_hash, written
+from .common import WORD, balanced_buckets, prefix_sum, row_unit, written
 
 SOURCE_WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -33,6 +33,15 @@ def quality_weight(chars: Column, words: Column) -> Column:
     return F.greatest(F.lit(0.05), 1.0 / (1.0 + F.abs(mean - TYPICAL_WORD) / TYPICAL_WORD))
 
 
+def key_bucket(key: Column, rows: int) -> Column:
+    """Order-preserving bucket of an exponential key on a logarithmic scale.
+
+    A weight shifts the logarithm of a key and leaves its spread, so that no bucket holds more
+    than about sqrt(rows) / e of ``rows`` keys, whatever their weights are.
+    """
+    return F.floor(F.log(key) * balanced_buckets(rows))
+
+
 def source_targets(sizes: DataFrame, share: float = SHARE, most: float = MOST, weights: tuple = SOURCE_WEIGHTS) -> DataFrame:
     """(source, source_size) → with ``target``: ``share`` of all sizes by weight, at most ``most`` times the size.
 
@@ -69,13 +78,12 @@ def mix(
     """
     words = word_count(F.col("text"))
     weight = weight if weight is not None else quality_weight(F.coalesce(F.length("text"), F.lit(0)), words)
-    key = -F.log(unit_hash(seed, F.col("doc_id"))) / F.greatest(F.coalesce(weight.cast("double"), F.lit(0.05)), F.lit(0.05))
+    key = -F.log(row_unit(seed, F.col("doc_id"), F.col("text"))) / F.greatest(F.coalesce(weight.cast("double"), F.lit(0.05)), F.lit(0.05))
     extra = [F.struct(*[F.col(c) for c in keep]).alias("_kept")] if keep else []
     base = written(
         docs.select("doc_id", "source", words.alias("size"), key.alias("_key"), F.xxhash64("text").alias("_tie"), *extra), "mix"
     )
-    buckets = balanced_buckets(base.count())
-    base = base.withColumn("_bucket", -F.floor(F.exp(-F.col("_key")) * buckets))
+    base = base.withColumn("_bucket", key_bucket(F.col("_key"), base.count()))
     order = ["_key", "doc_id", "size", "_tie"]
     placed = prefix_sum(base, ["source"], "_bucket", order, "size", "_before")
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))

@@ -4,7 +4,7 @@ Rows are ranked in seeded random order within their source; row ``r`` of ``n`` h
 fractional rank ``(2r - 1) / 2n``. Sorted by it, the sources interleave in proportion, and
 the order is cut into shards whose counts differ by one at most (law ``rows``).
 NULL is a source of its own, NULL text has no bytes, repeated rows get neighbouring
-ranks, columns besides those named are ignored, an empty table gives an empty result.
+ranks, rows without an id are placed by their text, columns besides those named are ignored, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import balanced_buckets, prefix_sum, unit_hash, written
+from .common import balanced_buckets, prefix_sum, row_unit, written
 
 SHARDS = 24
 SEED = 29
@@ -29,7 +29,7 @@ def shards(docs: DataFrame, *, n_shards: int = SHARDS, seed: int = SEED) -> Data
     base = written(
         docs.select(
             "doc_id", "source", (F.octet_length(text) + F.lit(ROW_BYTES)).cast("bigint").alias("size"),
-            F.crc32(text.cast("binary")).alias("text_crc32"), unit_hash(seed, F.col("doc_id")).alias("_u"), F.lit(1).cast("bigint").alias("_one"),
+            F.crc32(text.cast("binary")).alias("text_crc32"), row_unit(seed, F.col("doc_id"), F.col("text")).alias("_u"), F.lit(1).cast("bigint").alias("_one"),
         ), "shards",
     )
     rows = base.count()

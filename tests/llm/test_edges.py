@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievemark.llm import decontaminate, langid, licenses, mixing, neardup, quality_rules, queries, secrets, sharding, topk, toxicity
+from sievemark.llm.common import row_unit, unit_hash
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, score double, size int, node string, hits int, "
@@ -183,6 +184,27 @@ def test_mixing_targets(spark):
     assert got == pytest.approx({s: full.get(s, level * weights[s]) for s in sizes})
 
 
+@pytest.mark.parametrize("weight", [0.05, 1.0])
+def test_mixing_buckets_stay_small(spark, weight):
+    keys = spark.range(20000).select((-F.log(unit_hash(mixing.SEED, F.col("id"))) / weight).alias("key"))
+    assert keys.groupBy(mixing.key_bucket(F.col("key"), 20000)).count().agg(F.max("count")).first()[0] < 141
+
+
+def test_rows_without_an_id_are_spread(spark):
+    rows = spark.range(500).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("a").alias("source"))
+    assert rows.select(row_unit(1, F.col("doc_id"), F.col("text"))).distinct().count() == 500
+    assert sum(r["taken"] for r in mixing.mix(rows).collect()) == 1500
+    assert len({r["shard"] for r in sharding.shards(rows).collect()}) == sharding.SHARDS
+
+
+def test_near_duplicates_without_an_id(spark):
+    copies = [(None, text(60)), (None, text(60)), (None, text(59) + " end"), (3, text(60) + " end"), (None, text(60, 5)), (None, text(60, 5)), (9, text(50, 8))]
+    frame = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in copies], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, frame, "")
+    assert out.columns == frame.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == sorted([(3, text(60) + " end"), (0, text(60, 5)), (9, text(50, 8))])
+
+
 def test_sharding(docs):
     got = sharding.shards(docs, n_shards=4).collect()
     assert len(got) == len(ROWS)
