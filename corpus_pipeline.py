@@ -17,6 +17,9 @@ from sievemark.llm.common import documents, written
 #: A document goes when no language reaches this mean probability, or when it has no letter.
 LEAST_LANG_SCORE = 0.3
 
+#: Rows without an id take part in the near-duplicate stage under one from their text, above this.
+NULL_IDS = 1 << 61
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; rows without text or letters go."""
@@ -27,14 +30,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity of 0.8 or more).
 
-    Of rows that repeat the id of a kept document within its group, one stays; rows whose
-    id is NULL stay.
+    Of rows that repeat the id of a kept document within its group, one stays. Rows whose id is
+    NULL join groups too and come after all others: one stays if no row of its group has an id,
+    and equal texts are one document.
     """
-    found = neardup.near_duplicates(docs).filter(F.col("kept") & F.col("doc_id").isNotNull())
+    number = F.coalesce(F.col("doc_id"), F.lit(NULL_IDS) + F.pmod(F.xxhash64("text"), F.lit(NULL_IDS)))
+    found = neardup.near_duplicates(docs.select(number.alias("doc_id"), "text")).filter("kept")
     chosen = found.groupBy("component", "doc_id").agg(F.min("text_hash").alias("_hash")).select(F.col("doc_id").alias("_id"), "_hash")
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("_text"))
-    linked = keyed.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
-    return linked.dropDuplicates(["doc_id", "_text"]).select("row.*").union(docs.filter(F.col("doc_id").isNull()))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), number.alias("_number"), F.xxhash64("text").alias("_text"))
+    linked = keyed.join(chosen, (F.col("_number") == F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    return linked.dropDuplicates(["_number", "_text"]).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
