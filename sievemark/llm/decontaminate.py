@@ -1,13 +1,16 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item of m words may occur with up to k = ``rate * m`` word errors (inserted, lost or
-changed words). Cut into k + 1 pieces, at least one piece then occurs unchanged. Exact
-piece hits are found by hashed word sequences; around each, Myers' bit-parallel edit
-distance decides. Words are lower-cased, ASCII punctuation separates.
+changed words). Cut into k + 1 pieces, at least one piece then occurs unchanged. The cuts are
+placed so that each piece holds a run of words that few items share: phrases with which many
+items begin are not looked for where the item has rarer words. Exact hits of the runs are
+found by hashed word sequences; around each, Myers' bit-parallel edit distance decides. Words
+are lower-cased, ASCII punctuation separates.
 
 Items without words match nothing. NULL and empty texts hold nothing. Very long texts are
-searched whole. Items travel to the tasks in groups of at most ``GROUP_BYTES`` of text,
-one pass over the documents each, so that a large benchmark is still searched whole. Repeated
+searched whole. Items travel to the tasks in groups of about ``GROUP_BYTES`` of text. Each
+group is one pass over the documents, written to the shared folder before the next begins, so
+that a task holds one group at a time and a large benchmark is still searched whole. Repeated
 rows get equal results; other columns are carried untouched.
 """
 
@@ -19,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix64
+from .common import WordHashes, mix64, written
 
 RATE = 0.15
 GROUP_BYTES = 16_000_000
@@ -47,10 +51,22 @@ def sequences(words: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def pieces(m: int, errors: int) -> list[tuple[int, int]]:
-    """(start, length) of the ``errors + 1`` nearly equal pieces of m words."""
-    cuts = [i * m // (errors + 1) for i in range(errors + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+def rare_runs(common: np.ndarray, size: int, wanted: int) -> list[int]:
+    """Starts of ``wanted`` disjoint runs of ``size`` words for which the sum of ``common`` is least.
+
+    ``common`` has a value for each start. Runs in order, one in each of ``wanted`` pieces.
+    """
+    places = len(common) + size
+    costs = [np.zeros(places)]
+    for _ in range(wanted):
+        cost = np.full(places, np.inf)
+        cost[size:] = np.minimum.accumulate(costs[-1][:-size] + common)
+        costs.append(cost)
+    starts, end = [], places - 1
+    for n in range(wanted, 0, -1):
+        end = int(np.searchsorted(-costs[n][: end + 1], -costs[n][end])) - size
+        starts.append(end)
+    return starts[::-1]
 
 
 def closest(pattern: dict[int, int], m: int, words: list[int]) -> tuple[int, int]:
@@ -74,12 +90,18 @@ def closest(pattern: dict[int, int], m: int, words: list[int]) -> tuple[int, int
     return best, end
 
 
+def lacking(pattern: dict[int, int], words: list[int]) -> int:
+    """Different words of the pattern that ``words`` lacks: each costs an error."""
+    return len(pattern.keys() - set(words))
+
+
 class Matcher:
     """All items of a group, ready for search."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
         self.hashes = WordHashes()
         self.patterns, self.probes = [], defaultdict(lambda: defaultdict(list))
+        by_size = defaultdict(list)
         for item_id, text in items:
             words = words_of(text, self.hashes)
             m = len(words)
@@ -88,10 +110,15 @@ class Matcher:
             errors, bits = int(rate * m), defaultdict(int)
             for j, w in enumerate(words.tolist()):
                 bits[w] |= 1 << j
-            for start, length in pieces(m, errors):
-                size = min(length, LONGEST_PROBE)
-                self.probes[size][int(sequences(words[start : start + size], size)[0])].append((len(self.patterns), start))
+            size = min(m // (errors + 1), LONGEST_PROBE)
+            by_size[size].append((len(self.patterns), sequences(words, size)))
             self.patterns.append((item_id, m, errors, dict(bits)))
+        for size, runs in by_size.items():
+            _, which, held = np.unique(np.concatenate([r for _, r in runs]), return_inverse=True, return_counts=True)
+            common = np.split(held[which].astype(float), np.cumsum([len(r) for _, r in runs])[:-1])
+            for (item, r), shared in zip(runs, common):
+                for start in rare_runs(shared, size, self.patterns[item][2] + 1):
+                    self.probes[size][int(r[start])].append((item, start))
         self.sieves = {}
         for size, probes in self.probes.items():
             sieve = np.zeros(1 << SIEVE_BITS, bool)
@@ -117,7 +144,8 @@ class Matcher:
                     continue
                 if high is not None:
                     low = max(low, 0)
-                    distance, end = closest(bits, m, words[low:high].tolist())
+                    window = words[low:high].tolist()
+                    distance, end = closest(bits, m, window) if lacking(bits, window) <= errors else (m, 0)
                     if distance <= errors and (best is None or distance < best[0]):
                         best = (distance, max(low + end - m, 0), low + end)
                 if s is not None:
@@ -127,9 +155,8 @@ class Matcher:
         return sorted(found.values(), key=lambda x: x[0])
 
 
-def searching(items: list[tuple[int, str]], rate: float, spark: SparkSession):
+def searching(sent: Broadcast, rate: float):
     """Function of a text column: the items of one group that it holds."""
-    sent = spark.sparkContext.broadcast(items)
 
     @F.pandas_udf(HITS)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -141,16 +168,26 @@ def searching(items: list[tuple[int, str]], rate: float, spark: SparkSession):
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, column: str = "hits") -> DataFrame:
-    """``docs`` with an array of (item_id, errors, start, end): the items that the text holds. Items with NULL id are not used."""
+    """``docs`` with an array of (item_id, errors, start, end): the items that the text holds.
+
+    Items with NULL id are not used. Repeated rows count once; of several texts with one id the
+    hit with fewest errors is returned.
+    """
     spark = docs.sparkSession
-    items = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = 1 + size // GROUP_BYTES
-    found = []
     for g in range(groups):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).collect()
-        found.append(searching([(r["item_id"], r["text"]) for r in part], rate, spark)("text"))
-    return docs.withColumn(column, F.concat(*found) if len(found) > 1 else found[0])
+        sent = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in part])
+        hits = searching(sent, rate)("text")
+        docs = docs.withColumn(column, F.array_sort(F.concat(column, hits)) if g else hits)
+        if groups > 1:
+            docs = written(docs, f"decontaminate-{g}")
+            sent.destroy()
+    if groups > 1:  # hits of one id from several groups stand together, the one with fewest errors first
+        docs = docs.withColumn(column, F.filter(column, lambda h, i: (i == 0) | (F.get(column, i - 1)["item_id"] != h["item_id"])))
+    return docs
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
