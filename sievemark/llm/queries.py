@@ -112,7 +112,7 @@ u AS (SELECT doc_id, 'line' AS scope, unnest(string_split(text, chr(10))) AS par
       FROM documents WHERE contains(text, chr(10))
       UNION ALL SELECT doc_id, 'text', text, 0 FROM documents WHERE contains(text, chr(10))),
 w AS (SELECT doc_id, scope, unit, string_split(trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')), ' ') AS words FROM u),
-g AS (SELECT doc_id, scope, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams FROM w WHERE len(words) BETWEEN 2 AND 1000),
+g AS (SELECT doc_id, scope, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS grams FROM w WHERE len(words) >= 2),
 p AS (SELECT doc_id, scope, unit, license, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice FROM g, t
       WHERE len(g.grams) BETWEEN len(t.grams) * 0.6 AND len(t.grams) * 1.6)
 SELECT doc_id, license, max(dice) AS dice, count(DISTINCT (scope, unit)) AS units FROM p WHERE dice >= 0.8::DOUBLE GROUP BY doc_id, license
