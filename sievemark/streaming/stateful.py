@@ -6,8 +6,10 @@ the query resumes from its checkpoint. They need the RocksDB state store provide
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -61,6 +63,29 @@ class HeldCondition(StatefulProcessor):
         pass
 
 
+#: First and last time of stored samples, and a number that tells chunks of equal times apart.
+Chunk = tuple[int, int, int]
+
+
+def merged(parts: list[np.ndarray]) -> np.ndarray:
+    """Columns (time, active samples, inactive samples) of all parts, ascending, one column a time."""
+    counts = np.concatenate(parts, axis=1)
+    counts = counts[:, np.argsort(counts[0], kind="stable")]
+    first = np.flatnonzero(np.r_[True, counts[0, 1:] != counts[0, :-1]])
+    return np.vstack([counts[0, first], np.add.reduceat(counts[1:], first, axis=1)])
+
+
+def overlapping(chunks: list[Chunk]) -> int:
+    """How many of the chunks (ordered by time) cover one time, at most."""
+    ends, most = [], 0
+    for first, last, _ in chunks:
+        while ends and ends[0] < first:
+            heapq.heappop(ends)
+        heapq.heappush(ends, last)
+        most = max(most, len(ends))
+    return most
+
+
 class HeldRuns(StatefulProcessor):
     """Condition samples (key, at, active) → (key, at, since, state, samples), corrected by late samples.
 
@@ -69,8 +94,15 @@ class HeldRuns(StatefulProcessor):
     joins or extends a run so changes the states behind it, and these are sent again: the last
     version of each time is the same for any cut into micro-batches. Of samples with equal times
     the inactive ones come last, so that they reset.
+
+    A key may have any number of samples: they are sorted externally. ``SORTED`` of them at once
+    are sorted and stored as chunks of ``CHUNK`` times; sweeps over the state merge the chunks
+    that overlap and hold no others.
     """
 
+    #: Samples that are sorted at once, times in a chunk, and chunks that may overlap before a sweep stores them merged.
+    SORTED, CHUNK, DEPTH = 1 << 19, 1 << 14, 16
+
     def __init__(self, hold_seconds: int, step_seconds: int):
         self.hold = hold_seconds * 1_000_000
         self.step = step_seconds * 1_000_000
@@ -78,42 +110,93 @@ class HeldRuns(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.boundary = handle.getValueState("boundary", "since bigint, last bigint")
-        self.samples = handle.getMapState("samples", "at bigint", "active bigint, inactive bigint")
-
-    def follow(self, since: int | None, last: int | None, at: int, active: int, inactive: int) -> tuple[int | None, int | None]:
-        """Start of the run for the active samples of a time, and for what comes after it."""
-        start = None
-        if active:
-            start = at if since is None or at - last > self.step else since
-        return start, None if inactive else start
+        self.chunks = handle.getMapState("chunks", "first bigint, last bigint, number bigint", "counts binary")
+
+    def stored(self) -> list[Chunk]:
+        """Chunks of the key at hand, by time; the ones stored next get higher numbers."""
+        chunks = sorted(self.chunks.keys())
+        self.number = max((number for _, _, number in chunks), default=0)
+        return chunks
+
+    def put(self, counts: np.ndarray) -> None:
+        for begin in range(0, counts.shape[1], self.CHUNK):
+            part = counts[:, begin : begin + self.CHUNK]
+            self.number += 1
+            self.chunks.updateValue((int(part[0, 0]), int(part[0, -1]), self.number), (part.tobytes(),))
+
+    def remove(self, chunks: list[Chunk]) -> None:
+        for chunk in chunks:
+            self.chunks.removeKey(chunk)
+
+    def add(self, rows: Iterator[pd.DataFrame]) -> tuple[int, int]:
+        """Store new samples; returns their first and last time."""
+        held, size, ends = [], 0, []
+        for points in rows:
+            times = points["at"].astype("datetime64[us]").astype("int64")
+            held.append(np.array([times, points["active"].eq(True), points["active"].eq(False)], np.int64))
+            ends = [min([*ends, int(times.min())]), max([*ends, int(times.max())])]
+            size += len(points)
+            if size >= self.SORTED:
+                self.put(merged(held))
+                held, size = [], 0
+        if held:
+            self.put(merged(held))
+        return ends[0], ends[1]
+
+    def sweep(self, chunks: list[Chunk]) -> Iterator[np.ndarray]:
+        """Counts of the given chunks (ordered by time) in ascending pieces; each time is in one piece."""
+        at_once = max(4, overlapping(chunks))
+        rest = np.empty((3, 0), np.int64)
+        for i in range(0, len(chunks), at_once):
+            loaded = chunks[i : i + at_once]
+            rest = merged([rest, *(np.frombuffer(self.chunks.getValue(c)[0], np.int64).reshape(3, -1) for c in loaded)])
+            following = chunks[i + at_once : i + at_once + 1]
+            end = int(np.searchsorted(rest[0], following[0][0])) if following else rest.shape[1]
+            piece, rest = rest[:, :end], rest[:, end:]
+            if end:
+                yield piece
+
+    def follow(self, since: int | None, last: int | None, counts: np.ndarray) -> tuple[np.ndarray, int | None, int | None]:
+        """Start of the run for the active samples of each time; start of the run and time for what comes after them."""
+        times, active, goes_on = counts[0], counts[1] > 0, (counts[1] > 0) & (counts[2] == 0)
+        joined = np.empty(len(times), bool)
+        joined[0] = since is not None and times[0] <= last + self.step
+        joined[1:] = goes_on[:-1] & (times[1:] <= times[:-1] + self.step)
+        begin = np.maximum.accumulate(np.where(active & ~joined, np.arange(len(times)), -1))
+        starts = np.where(begin < 0, times[0] if since is None else since, times[begin])
+        return starts, int(starts[-1]) if goes_on[-1] else None, int(times[-1])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        points = pd.concat(list(rows))
-        times = points["at"].astype("datetime64[us]").astype("int64")
-        counts = points["active"].groupby(times).agg(["sum", "count"])
-        for at, active, total in counts.itertuples():
-            known = self.samples.getValue((at,)) if self.samples.containsKey((at,)) else (0, 0)
-            self.samples.updateValue((at,), (known[0] + int(active), known[1] + int(total - active)))
-        self.handle.registerTimer(int(times.max()) // 1000 + 1)
+        self.stored()
+        earliest, newest = self.add(rows)
+        self.handle.registerTimer(newest // 1000 + 1)
         since, last = self.boundary.get() if self.boundary.exists() else (None, None)
-        earliest, out = int(times.min()), []
-        for (at,), (active, inactive) in sorted(self.samples.iterator()):
-            start, since = self.follow(since, last, at, active, inactive)
-            last = at
-            if at >= earliest and active:
-                out.append((key[0], pd.Timestamp(at, unit="us"), pd.Timestamp(start, unit="us"), "firing" if at - start >= self.hold else "pending", active))
-        if out:
-            yield pd.DataFrame(out, columns=["alert", "at", "since", "state", "samples"])
+        chunks = self.stored()
+        merge = overlapping(chunks) > self.DEPTH
+        for counts in self.sweep(chunks):
+            if merge:
+                self.put(counts)
+            starts, since, last = self.follow(since, last, counts)
+            sent = (counts[0] >= earliest) & (counts[1] > 0)
+            if sent.any():
+                at, start = counts[0, sent], starts[sent]
+                yield pd.DataFrame({
+                    "alert": pd.Series([key[0]] * len(at), dtype=object), "at": at.view("datetime64[us]"), "since": start.view("datetime64[us]"),
+                    "state": np.where(at >= start + self.hold, "firing", "pending"), "samples": counts[1, sent],
+                })
+        if merge:
+            self.remove(chunks)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         since, last = self.boundary.get() if self.boundary.exists() else (None, None)
-        for (at,), (active, inactive) in sorted(self.samples.iterator()):
-            if at >= passed:
-                break
-            _, since = self.follow(since, last, at, active, inactive)
-            last = at
-            self.samples.removeKey((at,))
+        chunks = [c for c in self.stored() if c[0] < passed]
+        for counts in self.sweep(chunks):
+            end = int(np.searchsorted(counts[0], passed))
+            if end:
+                _, since, last = self.follow(since, last, counts[:, :end])
+            self.put(counts[:, end:])
+        self.remove(chunks)
         if last is not None:
             self.boundary.update((since, last))
         return iter([])

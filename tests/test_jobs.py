@@ -2,10 +2,13 @@
 
 import os
 import random
+import weakref
 from datetime import datetime, timedelta
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +130,61 @@ def test_held_runs_do_not_depend_on_batches(spark, tmp_path, parts):
     writers.upsert_log(stateful.held_runs(stream, 600, 240, "1 hour"), root, str(tmp_path / "c")).awaitTermination()
     got = readers.latest_rows(spark, root, stateful.HELD_SCHEMA, ["alert", "at"]).collect()
     assert sorted((r.alert, r.at, r.since, r.state) for r in got for _ in range(r.samples)) == held(rows, 600, 240)
+
+
+class Cells:
+    """State of one key in a plain dictionary."""
+
+    def __init__(self):
+        self.values, self.timers = {}, []
+
+    def getValueState(self, name, schema):
+        cell = Cells()
+        cell.exists, cell.get, cell.update = lambda: None in cell.values, lambda: cell.values[None], lambda v: cell.values.update({None: v})
+        return cell
+
+    def getMapState(self, name, *schemas):
+        cell = Cells()
+        cell.containsKey, cell.getValue, cell.removeKey = cell.values.__contains__, cell.values.__getitem__, cell.values.pop
+        cell.updateValue, cell.keys, cell.iterator = cell.values.__setitem__, lambda: iter(list(cell.values)), lambda: iter(list(cell.values.items()))
+        return cell
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_held_runs_hold_no_key_whole(monkeypatch):
+    for name, value in {"SORTED": 2000, "CHUNK": 100, "DEPTH": 4}.items():
+        monkeypatch.setattr(stateful.HeldRuns, name, value, raising=False)
+    rng = random.Random(5)
+    rows = [("x", BASE + timedelta(seconds=rng.randrange(100_000), microseconds=rng.choice([0, 0, 7])), rng.random() < 0.97) for _ in range(30_000)]
+    rows.sort(key=lambda r: r[1] + timedelta(minutes=rng.randrange(50)))
+    first, *late = [rows[:20_000], *(rows[i : i + 250] for i in range(20_000, 30_000, 250))]
+    rng.shuffle(first)
+    handle, processor, got, alive, most, longest = Cells(), stateful.HeldRuns(600, 30), {}, [], 0, 0
+
+    def frames(batch):
+        nonlocal most
+        for i in range(0, len(batch), 250):
+            frame = pd.DataFrame(batch[i : i + 250], columns=["alert", "at", "active"])
+            alive.append(weakref.ref(frame))
+            yield frame
+            del frame
+            alive[:] = [r for r in alive if r() is not None]
+            most = max(most, len(alive))
+
+    processor.init(handle)
+    passed = BASE
+    for number, batch in enumerate([first, *late]):
+        for frame in processor.handleInputRows(("x",), frames([r for r in batch if r[1] >= passed]), None):
+            longest = max(longest, len(frame))
+            got.update({r.at: (r.at, r.since, r.state, r.samples) for r in frame.itertuples()})
+        if number % 3 == 0:  # the watermark moves on
+            passed = max(r[1] for r in batch) - timedelta(hours=1)
+            since_1970 = (passed - datetime(1970, 1, 1)) // timedelta(milliseconds=1)
+            watermark = SimpleNamespace(getCurrentWatermarkInMs=lambda at=since_1970: at)
+            assert not list(processor.handleExpiredTimer(("x",), watermark, None))
+    expanded = [("x", at, since, state) for at, since, state, samples in got.values() for _ in range(samples)]
+    assert sorted(expanded) == held(rows, 600, 30)
+    assert most < 20 and longest < 8000
+    assert len(processor.chunks.values) < 400
